@@ -19,7 +19,9 @@ def distance(lon1: Column, lat1: Column, lon2: Column, lat2: Column, unit: str =
     rise = F.sin((F.radians(lat2) - F.radians(lat1)) / 2)
     run = F.sin((F.radians(lon2) - F.radians(lon1)) / 2)
     chord = rise * rise + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * run * run
-    return F.asin(F.sqrt(F.least(chord, F.lit(1.0)))) * (2 * radius)
+    # Not least(): it skips NULL, and a missing point would come out half the earth away.
+    chord = F.when(chord > 1, F.lit(1.0)).otherwise(chord)
+    return F.asin(F.sqrt(chord)) * (2 * radius)
 
 
 def airport_distance(code: str, lon: Column, lat: Column, unit: str = "m") -> Column:

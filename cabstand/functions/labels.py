@@ -46,8 +46,8 @@ def at_most(value: Column, bound, when_null) -> Column:
 
 
 def money(value: Column) -> Column:
-    """Two-digit dollar text, halves to even."""
-    return F.concat(F.lit("$"), F.format_number(F.bround(value, 2), "0.00"))
+    """Dollar text with at most two digits, halves to even: 12.5 is ``$12.5``."""
+    return F.concat(F.lit("$"), F.bround(value, 2).cast("string"))
 
 
 def percent_to_fraction(text: Column) -> Column:

@@ -101,3 +101,18 @@ def concat(frames: Sequence[DataFrame]) -> DataFrame:
     if not frames:
         raise ValueError("nothing to concatenate")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def difference_counts(left: DataFrame, right: DataFrame) -> DataFrame:
+    """How often rows occur more in one frame than in the other; 0 and 0 for equal frames.
+
+    Every row counts +1 or -1 and the balance is taken per distinct row: one aggregation that
+    pre-aggregates on the map side, where two ``exceptAll`` would shuffle both frames twice.
+    """
+    names = left.columns
+    marked = left.withColumn("_w", F.lit(1)).unionByName(right.withColumn("_w", F.lit(-1)))
+    balance = marked.groupBy(*names).agg(F.sum("_w").alias("_w"))
+    return balance.agg(
+        F.coalesce(F.sum(F.greatest("_w", F.lit(0))), F.lit(0)).alias("only_left"),
+        F.coalesce(F.sum(F.greatest(-F.col("_w"), F.lit(0))), F.lit(0)).alias("only_right"),
+    )

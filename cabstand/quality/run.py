@@ -207,6 +207,11 @@ def _recency_pass(df: DataFrame, rule: Rule, as_of: clock.Moment | None) -> Data
     return _unstacked(row, [_outcome(rule, F.col("n"), F.col("stale"), share, F.col("stale") == 0)])
 
 
+def severity(failing: Column, suite: Suite) -> Column:
+    """Grade of a number of failing rows: pass, warn or error."""
+    return F.when(failing > suite.error_above, "error").when(failing > suite.warn_above, "warn").otherwise("pass")
+
+
 def evaluate(df: DataFrame, suite: Suite, as_of: clock.Moment | None = None) -> DataFrame:
     """One row per rule: what was looked at, what failed, success and severity.
 
@@ -246,13 +251,9 @@ def evaluate(df: DataFrame, suite: Suite, as_of: clock.Moment | None = None) ->
     unknown = [r.kind for r in suite.rules if r.kind not in known]
     if unknown:
         raise ValueError(f"unknown rule kinds {unknown}")
-    severity = (
-        F.when(F.col("failing") > suite.error_above, "error")
-        .when(F.col("failing") > suite.warn_above, "warn")
-        .otherwise("pass")
-    )
     outcomes = reduce(DataFrame.unionByName, parts)
-    return outcomes.withColumns({"suite": F.lit(suite.name), "severity": severity}).select(*RESULT_COLUMNS)
+    graded = severity(F.col("failing"), suite)
+    return outcomes.withColumns({"suite": F.lit(suite.name), "severity": graded}).select(*RESULT_COLUMNS)
 
 
 def failing_rows(df: DataFrame, suite: Suite, as_of: clock.Moment | None = None) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -134,15 +134,34 @@ def schema_groups(assigned: DataFrame, bundle: int = 1000) -> DataFrame:
     return lists.select("schema_id", "part", "links")
 
 
-def read_drifting(spark: SparkSession, files: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """All files of a manifest as one frame of the declared columns, whatever their footers say.
+def drift_groups(files: DataFrame) -> list[list[str]]:
+    """The paths of a manifest, one list per schema, in a fixed order.
 
-    Files whose types cannot be merged in one read (whole numbers in one, doubles in another) are
-    read per schema, cast by name, and united. Spark's reader needs the paths as arguments, so the
-    file names, never rows, come to the driver; one reader is planned per distinct schema.
+    Spark's reader takes paths as arguments, so the file names, never rows, come to the driver.
     """
     lists = schema_groups(with_schema_id(footer_schemas(require_files(files))))
     links: dict[str, list[str]] = {}
     for row in lists.orderBy("schema_id", "part").toLocalIterator(prefetchPartitions=True):
         links.setdefault(row["schema_id"], []).extend(row["links"])
-    return concat([conform(read_parquet(spark, group), types) for group in links.values()])
+    return list(links.values())
+
+
+def read_groups(
+    spark: SparkSession, groups: Sequence[Sequence[str]], types: Mapping[str, str],
+    keep: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """All groups as one frame of the declared columns: one scan per schema, cast by name, united.
+
+    ``keep`` filters each scan before the cast, where the filter still reaches the files.
+    """
+    scans = [read_parquet(spark, list(group)) for group in groups]
+    return concat([conform(keep(scan) if keep else scan, types) for scan in scans])
+
+
+def read_drifting(spark: SparkSession, files: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    """All files of a manifest as one typed frame, whatever their footers say.
+
+    Files whose types cannot be merged in one read (whole numbers in one, doubles in another) end up
+    in different groups.
+    """
+    return read_groups(spark, drift_groups(files), types)
