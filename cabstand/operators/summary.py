@@ -9,27 +9,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from cabstand.functions import clock
 from cabstand.specs import DatasetSpec
 
-HOURS = 24
-
-
 def busiest(df: DataFrame, value: Column, name: str) -> DataFrame:
     """The most frequent value as one row; the lowest of several equally frequent ones."""
     counted = df.groupBy(value.alias(name)).agg(F.count("*").alias("_n"))
     return counted.orderBy(F.desc("_n"), F.asc(name)).limit(1).select(name)
 
 
-def hour_counters(ts: Column) -> list[Column]:
-    """24 counters, one per hour. They are plain long sums, so they pre-aggregate on the map side
-    and keep the whole rollup in one hash aggregate with one shuffle."""
-    return [F.count_if(F.hour(ts) == h).alias(f"_h{h}") for h in range(HOURS)]
-
-
-def busiest_hour(counters: Column) -> Column:
-    """Hour with the highest counter (lowest on ties); NULL when no row had a time."""
-    top = F.array_max(counters)
-    return F.when(top > 0, (F.array_position(counters, top) - 1).cast("int"))
-
-
 def monthly_summary(df: DataFrame, spec: DatasetSpec, busiest_scope: str = "group") -> DataFrame:
     """Sums, averages, counts, durations and busiest hour per key and month.
 
@@ -42,31 +27,50 @@ def monthly_summary(df: DataFrame, spec: DatasetSpec, busiest_scope: str = "grou
     seconds = clock.seconds_between(start, end)
     keys = [F.col(source).alias(name) for name, source in spec.summary.keys.items()]
     keys.append(clock.month_start(start).alias("first_day_of_month"))
-    measures = [F.sum(source).alias(name) for name, source in spec.summary.sums.items()]
-    measures += [F.avg(source).alias(name) for name, source in spec.summary.averages.items()]
+    names = [*spec.summary.keys, "first_day_of_month"]
+    sums = {**spec.summary.sums, **{f"_sum_{name}": source for name, source in spec.summary.averages.items()}}
+    counts = {f"_count_{name}": source for name, source in spec.summary.averages.items()}
+    measures = [F.sum(source).alias(name) for name, source in sums.items()]
+    measures += [F.count(source).alias(name) for name, source in counts.items()]
     measures += [
         F.count("*").alias("trip_count"),
-        F.avg(seconds / 60).alias("avg_duration_minutes"),
         F.sum(seconds).alias("total_duration_seconds"),
+        F.count(seconds).alias("_timed"),
     ]
-    grouped = df.groupBy(*keys)
     if busiest_scope == "group":
-        table = grouped.agg(*measures, *hour_counters(start))
-        hour = busiest_hour(F.array(*[F.col(f"_h{h}") for h in range(HOURS)]))
+        table = _with_busiest_hour(df, keys, names, start, measures)
+        hour = F.col("busiest_hour_of_day")
     else:
-        table = grouped.agg(*measures)
+        table = df.groupBy(*keys).agg(*measures)
         hour = busiest(df, F.hour(start), "hour").scalar()
-    names = [*spec.summary.keys, "first_day_of_month", *spec.summary.sums, *spec.summary.averages]
+    averages = [
+        F.try_divide(F.col(f"_sum_{name}"), F.col(f"_count_{name}")).alias(name) for name in spec.summary.averages
+    ]
     return table.select(
         *names,
+        *spec.summary.sums,
+        *averages,
         "trip_count",
-        "avg_duration_minutes",
+        F.try_divide(F.col("total_duration_seconds") / 60, F.col("_timed")).alias("avg_duration_minutes"),
         "total_duration_seconds",
         (F.col("total_duration_seconds") / 3600).alias("total_duration_hours"),
         hour.alias("busiest_hour_of_day"),
     )
 
 
+def _with_busiest_hour(df: DataFrame, keys: list[Column], names: list[str], start: Column, measures: list[Column]) -> DataFrame:
+    """Roll up per key and hour, then per key, keeping the hour with most rows (lowest on ties).
+
+    The count and the hour are packed into one long, so that the maximum is a plain number: both
+    steps stay hash aggregates with map-side combine, which a mode or a struct maximum would not.
+    """
+    hourly = df.groupBy(*keys, F.hour(start).alias("_hour")).agg(*measures)
+    added = [name for name in hourly.columns if name not in (*names, "_hour")]
+    packed = F.max(F.col("trip_count") * 32 + (31 - F.col("_hour"))).alias("_packed")
+    rolled = hourly.groupBy(*names).agg(*[F.sum(name).alias(name) for name in added], packed)
+    return rolled.withColumn("busiest_hour_of_day", (31 - F.col("_packed") % 32).cast("int"))
+
+
 def mode_per_group(df: DataFrame, keys: Sequence[str], value: Column, name: str) -> DataFrame:
     """Most frequent value per group, lowest on ties, for values of any number.
 

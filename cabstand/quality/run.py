@@ -237,7 +237,7 @@ def evaluate(df: DataFrame, suite: Suite, as_of: clock.Moment | None = None) ->
 
     parts = []
     if fixed:
-        parts.append(_unstacked(df.sparkSession.range(1), fixed))
+        parts.append(_unstacked(df.sparkSession.range(0, 1, 1, 1), fixed))
     single = [r for r in data_rules if r.kind in ROW_KINDS or r.kind == "max_between"]
     if single:
         parts.append(_one_pass(df, single))

@@ -180,7 +180,7 @@ def descriptions(df: DataFrame) -> DataFrame:
         F.struct(F.lit(f.name).alias("column"), F.lit(f.metadata.get("comment")).cast("string").alias("comment"))
         for f in df.schema.fields
     ]
-    return df.sparkSession.range(1).select(F.inline(F.array(*pairs)))
+    return df.sparkSession.range(0, 1, 1, 1).select(F.inline(F.array(*pairs)))
 
 
 def create_table_sql(

@@ -85,10 +85,13 @@ def start_ingest(
 ) -> StreamingQuery:
     """Start the ingest; with ``once`` it takes what is there and stops.
 
-    ``every`` sets the micro-batch interval and with it the size of the files.
+    ``every`` sets the micro-batch interval and with it the size of the files. The rows of a batch
+    are gathered by folder before the write; AQE, which also covers stateless streams, splits a
+    folder that holds most of the batch over several tasks.
     """
+    rows = routed(messages, spec, as_of, unknown_fields)
     writer = (
-        routed(messages, spec, as_of, unknown_fields)
+        rows.hint("rebalance", F.col(routing.ROUTE), F.col(PART))
         .writeStream.format("parquet")
         .outputMode("append")
         .option("path", table)
