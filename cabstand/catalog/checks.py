@@ -249,10 +249,10 @@ def gate(spark, sf):
 @query(
     "a26_failing_rows",
     """SELECT 'between:l_quantity' AS rule_id, count(*) AS records, CAST(sum(l_orderkey) AS BIGINT) AS keys FROM lineitem WHERE NOT (l_quantity > 1 AND l_quantity < 50)
-       UNION ALL SELECT 'pair_greater:l_discount-l_tax', count(*), sum(l_orderkey) FROM lineitem WHERE NOT (l_discount >= l_tax)
-       UNION ALL SELECT 'within_stdevs:l_extendedprice', count(*), sum(l_orderkey) FROM lineitem, (SELECT avg(l_extendedprice) mu, stddev_samp(l_extendedprice) sd FROM lineitem) WHERE abs(l_extendedprice - mu) / sd > 1
-       UNION ALL SELECT 'unique:l_orderkey', count(*), sum(l_orderkey) FROM (SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(*) > 1)
-       UNION ALL SELECT 'unique:l_extendedprice', count(*), NULL FROM (SELECT l_extendedprice FROM lineitem GROUP BY 1 HAVING count(*) > 1)""",
+       UNION ALL SELECT 'pair_greater:l_discount-l_tax', count(*), CAST(sum(l_orderkey) AS BIGINT) FROM lineitem WHERE NOT (l_discount >= l_tax)
+       UNION ALL SELECT 'within_stdevs:l_extendedprice', count(*), CAST(sum(l_orderkey) AS BIGINT) FROM lineitem, (SELECT avg(l_extendedprice) mu, stddev_samp(l_extendedprice) sd FROM lineitem) WHERE abs(l_extendedprice - mu) / sd > 1
+       UNION ALL SELECT 'unique:l_orderkey', count(*), CAST(sum(l_orderkey) AS BIGINT) FROM (SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(*) > 1)
+       UNION ALL SELECT 'unique:l_extendedprice', count(*), CAST(NULL AS BIGINT) FROM (SELECT l_extendedprice FROM lineitem GROUP BY 1 HAVING count(*) > 1)""",
 )
 def failing(spark, sf):
     """Failing records stored by rule and read back."""
@@ -265,13 +265,13 @@ def failing(spark, sf):
 
 @query(
     "i18_frame_difference",
-    "SELECT 0 AS only_left, 1 AS only_right FROM (SELECT count(*) FROM nation)",
+    "SELECT CAST(0 AS BIGINT) AS only_left, count(*) AS only_right FROM orders WHERE o_orderstatus = 'P'",
 )
 def difference(spark, sf):
-    """Nations against nations with one more row."""
-    nation = table(spark, sf, "nation")
-    more = nation.unionByName(nation.where(F.col("n_nationkey") == 3))
-    return joins.difference_counts(nation, more)
+    """Orders against orders in which every pending one occurs twice."""
+    orders = table(spark, sf, "orders")
+    more = orders.unionByName(orders.where(F.col("o_orderstatus") == "P"))
+    return joins.difference_counts(orders, more)
 
 
 @query(

@@ -155,7 +155,7 @@ for _name in report.REPORT_LISTS:
 
 @query(
     "d15_histogram",
-    """SELECT event_type, le, count(*) FILTER (value <= le) AS bucket, round(sum(value), 2) AS value_sum, count(*) AS value_count
+    """SELECT event_type, CAST(le AS DOUBLE) AS le, count(*) FILTER (value <= le) AS bucket, round(sum(value), 2) AS value_sum, count(*) AS value_count
        FROM events, (SELECT unnest([1.0, 2, 5, 15, 30, 60, 90, 120, 300]) AS le) GROUP BY event_type, le""",
 )
 def d15(spark, sf):
@@ -223,7 +223,7 @@ def m4(spark, sf):
 
 @query(
     "m4_report_filtered",
-    f"{REPORT_SQL} SELECT year, month, pickup_borough, sum(trip_count) AS trips FROM report "
+    f"{REPORT_SQL} SELECT year, month, pickup_borough, CAST(sum(trip_count) AS BIGINT) AS trips FROM report "
     "WHERE vendors IN ('VeriFone Inc.', 'Other') AND pickup_borough = 'EUROPE' GROUP BY 1, 2, 3",
 )
 def m4_filtered(spark, sf):

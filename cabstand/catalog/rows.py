@@ -32,11 +32,11 @@ def b1_failures(spark, sf):
 
 @query(
     "b2_b3_b4_project",
-    "SELECT n_nationkey AS place, n_name AS name, 'yellow' AS category FROM nation",
+    "SELECT c_custkey AS place, c_name AS name, c_acctbal, c_mktsegment, 'yellow' AS category FROM customer",
 )
 def b2(spark, sf):
-    rows = columns.rename(table(spark, sf, "nation"), {"n_nationkey": "place", "n_name": "name"})
-    return columns.all_except(rows, "n_regionkey").withColumn("category", F.lit("yellow"))
+    rows = columns.rename(table(spark, sf, "customer"), {"c_custkey": "place", "c_name": "name"})
+    return columns.all_except(rows, "c_nationkey").withColumn("category", F.lit("yellow"))
 
 
 @query(
@@ -156,10 +156,10 @@ def b14(spark, sf):
 
 @query(
     "b15_d10_drill_down",
-    f"WITH {ZONES_SQL} SELECT DISTINCT zone FROM zones WHERE borough = 'ASIA'",
+    "SELECT DISTINCT p_type FROM part WHERE p_brand = 'Brand#12'",
 )
 def b15(spark, sf):
-    return filters.drill_down(zones(spark, sf), "borough", "ASIA", "zone")
+    return filters.drill_down(table(spark, sf, "part"), "p_brand", "Brand#12", "p_type")
 
 
 @query(
@@ -258,7 +258,7 @@ def c3(spark, sf):
 @query(
     "c5_scalar_column",
     """SELECT event_type, count(*) AS events,
-              (SELECT hour(ts) FROM events GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS busiest_hour
+              (SELECT CAST(hour(ts) AS INTEGER) FROM events GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS busiest_hour
        FROM events GROUP BY event_type""",
 )
 def c5(spark, sf):

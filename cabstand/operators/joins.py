@@ -113,6 +113,6 @@ def difference_counts(left: DataFrame, right: DataFrame) -> DataFrame:
     marked = left.withColumn("_w", F.lit(1)).unionByName(right.withColumn("_w", F.lit(-1)))
     balance = marked.groupBy(*names).agg(F.sum("_w").alias("_w"))
     return balance.agg(
-        F.coalesce(F.sum(F.greatest("_w", F.lit(0))), F.lit(0)).alias("only_left"),
-        F.coalesce(F.sum(F.greatest(-F.col("_w"), F.lit(0))), F.lit(0)).alias("only_right"),
+        F.coalesce(F.sum(F.greatest("_w", F.lit(0))), F.lit(0)).cast("bigint").alias("only_left"),
+        F.coalesce(F.sum(F.greatest(-F.col("_w"), F.lit(0))), F.lit(0)).cast("bigint").alias("only_right"),
     )

@@ -3,7 +3,7 @@
 How often the data is read: all row rules of a suite are counters of ONE aggregation. Rules about
 distinct values need a shuffle by that value, so each such column is one narrow extra scan (a single
 column, pre-aggregated on the map side) rather than a multi-distinct plan that would copy every row
-once per column. Deviation rules add one narrow pass for mean and deviation. Schema rules read nothing.
+once per column; a share with an ``approximate`` error (0.01, say) joins the one pass instead. Deviation rules add one narrow pass for mean and deviation. Schema rules read nothing.
 """
 
 from __future__ import annotations
@@ -157,6 +157,15 @@ def _one_pass(df: DataFrame, rules: list[Rule]) -> DataFrame:
             bad = F.when(F.coalesce(inside, F.lit(True)), 0).otherwise(1)
             outcomes.append(_outcome(rule, F.col("n"), bad, F.col(f"v{i}"), inside))
             continue
+        if rule.kind == "unique_share":
+            name = _resolve(df, rule.column)
+            counters.append(F.approx_count_distinct(name, rule.params["approximate"]).alias(f"d{i}"))
+            counters.append(F.count(name).alias(f"c{i}"))
+            share = F.try_divide(F.col(f"d{i}"), F.col(f"c{i}"))
+            inside = _holds(share, rule.params, bool(rule.params.get("strict")))
+            bad = F.when(F.coalesce(inside, F.lit(True)), 0).otherwise(1)
+            outcomes.append(_outcome(rule, F.col(f"c{i}"), bad, share, inside))
+            continue
         counted, fails = _row_test(df, rule, moments)
         counters.append(F.count_if(fails).alias(f"f{i}"))
         total, bad = F.col("n"), F.col(f"f{i}")
@@ -238,12 +247,13 @@ def evaluate(df: DataFrame, suite: Suite, as_of: clock.Moment | None = None) ->
     parts = []
     if fixed:
         parts.append(_unstacked(df.sparkSession.range(0, 1, 1, 1), fixed))
-    single = [r for r in data_rules if r.kind in ROW_KINDS or r.kind == "max_between"]
+    estimated = [r for r in data_rules if r.kind == "unique_share" and r.params.get("approximate")]
+    single = [r for r in data_rules if r.kind in ROW_KINDS or r.kind == "max_between"] + estimated
     if single:
         parts.append(_one_pass(df, single))
     distinct: dict[str, list[Rule]] = {}
     for rule in data_rules:
-        if rule.kind in DISTINCT_KINDS:
+        if rule.kind in DISTINCT_KINDS and rule not in estimated:
             distinct.setdefault(rule.column.lower(), []).append(rule)
     parts += [_distinct_pass(df, rules[0].column, rules) for rules in distinct.values()]
     parts += [_recency_pass(df, r, as_of) for r in data_rules if r.kind == "recent"]

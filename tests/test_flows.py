@@ -219,7 +219,7 @@ def test_train_record_pick_and_score(spark, folder):
     features.build_features(spark, trips(spark, *changes), places, folder + "/f")
     samples = tables.read_months(spark, folder + "/f")
     grid = {"maxDepth": (3,), "maxIter": (3,), "minInstancesPerNode": (3, 80)}
-    trained = fare_model.fit_fare_model(samples, grid, folds=2, model_path=folder + "/m")
+    trained = fare_model.fit_fare_model(samples, grid, folds=2, model_folder=folder + "/m")
     trials = trained.trials.collect()
     nested = [t for t in trials if t["parent_run_id"]]
     parents = [t for t in trials if not t["parent_run_id"]]
@@ -241,6 +241,18 @@ def test_train_record_pick_and_score(spark, folder):
     assert fare_model.load_best(spark, trained.trials.limit(0)) is None
 
 
+def test_training_from_a_table_keeps_every_run(spark, folder):
+    changes = [month(1 + i % 12, passenger_count=1 + i % 6, trip_distance=1.0 + i % 9, fare_amount=5.0 + 3 * (i % 9)) for i in range(120)]
+    features.build_features(spark, trips(spark, *changes), zones(spark), folder + "/f")
+    for depth in (1, 3):
+        grid = {"maxDepth": (depth,), "maxIter": (2,), "minInstancesPerNode": (3,)}
+        fare_model.train_from_table(spark, folder + "/f", folder + "/runs", grid, folds=2, share=1.0)
+    trials = spark.read.parquet(folder + "/runs/trials")
+    assert trials.count() == 4 and trials.select("model_path").distinct().count() == 2
+    model = fare_model.load_best(spark, trials)
+    assert model.stages[-1].getMaxDepth() == 3
+
+
 def test_scoring_a_training_trip_sees_the_same_features(spark):
     """Same names, same units, same calendar for the row that trains and the row that is scored."""
     places = zones(spark)

@@ -87,6 +87,15 @@ def test_unique_and_unique_share(spark):
     assert (share["observed"], share["success"]) == (0.5, True)
 
 
+def test_unique_share_can_be_estimated_in_the_one_pass(spark, folder):
+    spark.range(20000).select((F.col("id") % 5000).alias("x")).write.parquet(folder + "/t")
+    rule = Rule("unique_share", "x", {"low": 0.2, "high": 0.3, "approximate": 0.02})
+    results = evaluate(spark.read.parquet(folder + "/t"), Suite("s", (rule, Rule("not_null", "x"))))
+    row = results.where("kind = 'unique_share'").first()
+    assert row["success"] and row["observed"] == pytest.approx(0.25, rel=0.1)
+    assert plan_of(results).split("== Physical Plan ==")[1].count("FileScan parquet") == 1
+
+
 def test_recency_per_group_and_for_the_whole_table(spark):
     old, new = dt.datetime(2022, 7, 1), dt.datetime(2022, 12, 1)
     df = spark.createDataFrame([(1, old), (1, new), (2, old), (3, None)], "k int, t timestamp")
