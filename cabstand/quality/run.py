@@ -130,20 +130,45 @@ def _moments(df: DataFrame, rules: list[Rule]) -> Callable[[str], Column]:
     return lambda name: stats[f"s{names.index(_resolve(df, name))}"]
 
 
-def _outcome(rule: Rule, total: Column, failing: Column, observed: Column, success: Column) -> Column:
-    return F.struct(
-        F.lit(rule.rule_id).alias("rule_id"),
-        F.lit(rule.kind).alias("kind"),
-        F.lit(rule.column).cast("string").alias("target"),
-        total.cast("bigint").alias("total"),
-        failing.cast("bigint").alias("failing"),
-        observed.cast("double").alias("observed"),
-        F.coalesce(success, F.lit(True)).alias("success"),
+def _literal(value) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return str(value).lower()
+    if isinstance(value, (int, float)):
+        return repr(value)
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _inside(value: str, params) -> str:
+    strict = bool(params.get("strict"))
+    checks = []
+    if params.get("low") is not None:
+        checks.append(f"{value} {'>' if strict else '>='} {_literal(params['low'])}")
+    if params.get("high") is not None:
+        checks.append(f"{value} {'<' if strict else '<='} {_literal(params['high'])}")
+    return " AND ".join(checks) or "true"
+
+
+def _outcome(rule: Rule, total: str, failing: str, observed: str, success: str) -> str:
+    """One result row as SQL over the counters; a suite has dozens, and text is far quicker to hand
+    to Spark than as many column objects."""
+    return (
+        f"named_struct('rule_id', {_literal(rule.rule_id)}, 'kind', {_literal(rule.kind)}, "
+        f"'target', CAST({_literal(rule.column)} AS STRING), 'total', CAST({total} AS BIGINT), "
+        f"'failing', CAST({failing} AS BIGINT), 'observed', CAST({observed} AS DOUBLE), "
+        f"'success', coalesce({success}, true))"
     )
 
 
-def _unstacked(one_row: DataFrame, outcomes: list[Column]) -> DataFrame:
-    return one_row.select(F.inline(F.array(*outcomes)))
+def _range_outcome(rule: Rule, total: str, value: str) -> str:
+    """Outcome of a rule that is one number in a range; it fails at most once."""
+    inside = _inside(value, rule.params)
+    return _outcome(rule, total, f"CASE WHEN coalesce({inside}, true) THEN 0 ELSE 1 END", value, inside)
+
+
+def _unstacked(one_row: DataFrame, outcomes: list[str]) -> DataFrame:
+    return one_row.selectExpr(f"inline(array({', '.join(outcomes)}))")
 
 
 def _one_pass(df: DataFrame, rules: list[Rule]) -> DataFrame:
@@ -153,28 +178,23 @@ def _one_pass(df: DataFrame, rules: list[Rule]) -> DataFrame:
     for i, rule in enumerate(rules):
         if rule.kind == "max_between":
             counters.append(F.max(_resolve(df, rule.column)).alias(f"v{i}"))
-            inside = _holds(F.col(f"v{i}"), rule.params, bool(rule.params.get("strict")))
-            bad = F.when(F.coalesce(inside, F.lit(True)), 0).otherwise(1)
-            outcomes.append(_outcome(rule, F.col("n"), bad, F.col(f"v{i}"), inside))
+            outcomes.append(_range_outcome(rule, "n", f"v{i}"))
             continue
         if rule.kind == "unique_share":
             name = _resolve(df, rule.column)
             counters.append(F.approx_count_distinct(name, rule.params["approximate"]).alias(f"d{i}"))
             counters.append(F.count(name).alias(f"c{i}"))
-            share = F.try_divide(F.col(f"d{i}"), F.col(f"c{i}"))
-            inside = _holds(share, rule.params, bool(rule.params.get("strict")))
-            bad = F.when(F.coalesce(inside, F.lit(True)), 0).otherwise(1)
-            outcomes.append(_outcome(rule, F.col(f"c{i}"), bad, share, inside))
+            outcomes.append(_range_outcome(rule, f"c{i}", f"try_divide(d{i}, c{i})"))
             continue
         counted, fails = _row_test(df, rule, moments)
         counters.append(F.count_if(fails).alias(f"f{i}"))
-        total, bad = F.col("n"), F.col(f"f{i}")
+        total = "n"
         if rule.kind != "not_null":
             counters.append(F.count_if(counted).alias(f"c{i}"))
-            total = F.col(f"c{i}")
-        share = F.try_divide(total - bad, total)
-        success = bad == 0 if rule.mostly >= 1 else share >= rule.mostly
-        outcomes.append(_outcome(rule, total, bad, share, success))
+            total = f"c{i}"
+        share = f"try_divide({total} - f{i}, {total})"
+        success = f"f{i} = 0" if rule.mostly >= 1 else f"{share} >= {_literal(rule.mostly)}"
+        outcomes.append(_outcome(rule, total, f"f{i}", share, success))
     return _unstacked(df.agg(*counters), outcomes)
 
 
@@ -186,16 +206,16 @@ def _distinct_pass(df: DataFrame, column: str, rules: list[Rule]) -> DataFrame:
         F.count("*").alias("different"),
         F.count_if(F.col("copies") > 1).alias("repeated"),
     )
-    outcomes = []
-    for rule in rules:
-        share = F.try_divide(F.col("different"), F.col("n"))
-        if rule.kind == "unique":
-            bad, success = F.col("repeated"), F.col("repeated") == 0
-        else:
-            success = _holds(share, rule.params, bool(rule.params.get("strict")))
-            bad = F.when(F.coalesce(success, F.lit(True)), 0).otherwise(1)
-        outcomes.append(_outcome(rule, F.col("n"), bad, share, success))
-    return _unstacked(row, outcomes)
+    share = "try_divide(different, n)"
+    return _unstacked(
+        row,
+        [
+            _outcome(rule, "n", "repeated", share, "repeated = 0")
+            if rule.kind == "unique"
+            else _range_outcome(rule, "n", share)
+            for rule in rules
+        ],
+    )
 
 
 def group_recency(df: DataFrame, rule: Rule, as_of: clock.Moment | None) -> DataFrame:
@@ -212,8 +232,7 @@ def _recency_pass(df: DataFrame, rule: Rule, as_of: clock.Moment | None) -> Data
     row = group_recency(df, rule, as_of).agg(
         F.count("*").alias("n"), F.count_if(~F.col("recent")).alias("stale")
     )
-    share = F.try_divide(F.col("n") - F.col("stale"), F.col("n"))
-    return _unstacked(row, [_outcome(rule, F.col("n"), F.col("stale"), share, F.col("stale") == 0)])
+    return _unstacked(row, [_outcome(rule, "n", "stale", "try_divide(n - stale, n)", "stale = 0")])
 
 
 def severity(failing: Column, suite: Suite) -> Column:
@@ -236,12 +255,12 @@ def evaluate(df: DataFrame, suite: Suite, as_of: clock.Moment | None = None) ->
 
     data_rules = [r for r in suite.rules if r.kind not in SCHEMA_KINDS]
     fixed = [
-        _outcome(r, F.lit(None), F.lit(0 if ok else 1), F.lit(seen), F.lit(ok))
+        _outcome(r, "NULL", "0" if ok else "1", _literal(seen), _literal(ok))
         for r in suite.rules
         if r.kind in SCHEMA_KINDS
         for ok, seen in [_schema_outcome(df, r)]
     ]
-    fixed += [_outcome(r, F.lit(None), F.lit(1), F.lit(None), F.lit(False)) for r in data_rules if absent(r)]
+    fixed += [_outcome(r, "NULL", "1", "NULL", "false") for r in data_rules if absent(r)]
     data_rules = [r for r in data_rules if not absent(r)]
 
     parts = []

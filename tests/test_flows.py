@@ -203,7 +203,7 @@ def test_split_is_repeatable_and_disjoint(spark):
     assert 3300 < train.count() < 3700
 
 
-def test_default_grid():
+def test_default_grid(spark):
     params = fare_model.param_grid(fare_model.estimator(["x"]))
     tried = {tuple(sorted((p.name, v) for p, v in setting.items())) for setting in params}
     assert len(tried) == 6
