@@ -1,7 +1,8 @@
 """Date and time expressions.
 
-Every helper that needs "now" takes ``as_of``: results stay reproducible, and a literal folds into
-the scan filter where ``current_timestamp()`` would too but could not be tested.
+Every helper that needs "now" takes ``as_of``, which makes results reproducible. Without it the
+current time is an expression, not a value read when the plan is built: a batch query sees one time
+throughout, and each micro-batch of a stream sees its own.
 """
 
 from __future__ import annotations
@@ -52,8 +53,12 @@ def instant(moment: Moment | None, data_type: T.DataType | None = None) -> Colum
     """Literal of the same type as the column it is compared with.
 
     A literal of another time type makes Spark cast the *column*, and a cast column is not pushed
-    down to the file scan.
+    down to the file scan. ``None`` is the time the query (or micro-batch) runs.
     """
+    if moment is None:
+        if isinstance(data_type, T.TimestampNTZType):
+            return F.localtimestamp()
+        return F.current_date() if isinstance(data_type, T.DateType) else F.current_timestamp()
     text = as_datetime(moment).isoformat(sep=" ")
     if isinstance(data_type, T.TimestampNTZType):
         return F.lit(text).cast("timestamp_ntz")

@@ -135,15 +135,15 @@ def schema_groups(assigned: DataFrame, bundle: int = 1000) -> DataFrame:
 
 
 def drift_groups(files: DataFrame) -> list[list[str]]:
-    """The paths of a manifest, one list per schema, in a fixed order.
+    """The paths of a manifest, one list per schema, lists and paths in path order.
 
     Spark's reader takes paths as arguments, so the file names, never rows, come to the driver.
     """
     lists = schema_groups(with_schema_id(footer_schemas(require_files(files))))
     links: dict[str, list[str]] = {}
-    for row in lists.orderBy("schema_id", "part").toLocalIterator(prefetchPartitions=True):
+    for row in lists.toLocalIterator(prefetchPartitions=True):
         links.setdefault(row["schema_id"], []).extend(row["links"])
-    return list(links.values())
+    return sorted(sorted(group) for group in links.values())
 
 
 def read_groups(

@@ -58,7 +58,7 @@ def routed(
     """Decode, cleanse and route; streaming or batch.
 
     ``raw`` is kept for dead messages only. Without ``as_of`` the "in the past" rules compare with
-    the time the query was built.
+    the time of each micro-batch.
     """
     rows = routing.with_route(decoded(messages, spec.columns, unknown_fields), spec.rules(as_of))
     good = F.col("error").isNull()

@@ -14,10 +14,11 @@ from cabstand.session import build_session  # noqa: E402
 def spark():
     session = build_session(
         "tests",
-        "local[8]",
+        "local[4]",
         spark__ui__enabled="false",
-        spark__sql__shuffle__partitions="8",
+        spark__sql__shuffle__partitions="4",
         spark__driver__memory="6g",
+        spark__sql__sources__parallelPartitionDiscovery__threshold="1000",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -4,7 +4,10 @@ import pytest
 
 import __spark_entry__ as entry
 from check_queries import compare, connect
+from tests.support import plan_of
 
+# No Python per row, no pairing of everything with everything, no window in one task.
+BANNED = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas")
 SQL = entry.oracle_sql()
 SLOW = {"l2_l7_m7_k3_train_and_score", "l5_trials"}  # covered by the model test
 
@@ -17,6 +20,8 @@ def connection(sf):
 @pytest.mark.parametrize("name", sorted(set(entry.queries()) - SLOW))
 def test_query(spark, sf, connection, name):
     frame = entry.queries()[name](spark, sf)
+    plan = plan_of(frame)
+    assert [node for node in BANNED if node in plan] == []
     if name not in SQL:
         assert frame.count() > 0
         return

@@ -1,4 +1,5 @@
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -134,6 +135,16 @@ def test_rule_boundaries(spark, change, failed):
     assert row["route"] == ("triage" if failed else "clean")
 
 
+def test_without_as_of_the_rules_use_the_time_of_the_run(spark):
+    rules = trip_rules()
+    soon = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) + dt.timedelta(seconds=3)
+    df = trips(spark, {"tpep_dropoff_datetime": soon})
+    routed = routing.with_route(df, rules).select("route", "failed_rules")
+    assert tuple(routed.first()) == ("triage", ["dropoff_in_past"])
+    time.sleep(4)
+    assert routing.with_route(df, rules).first()["route"] == "clean"
+
+
 def test_routes_add_up_on_the_given_tables(spark, sf):
     from cabstand.catalog.bindings import trips as bound
 
