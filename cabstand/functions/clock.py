@@ -8,6 +8,7 @@ throughout, and each micro-batch of a stream sees its own.
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -22,11 +23,12 @@ DATE_PARTS = ("day_of_month", "month", "year", "day_of_week", "hour_of_day")
 
 
 def as_datetime(moment: Moment | None) -> dt.datetime:
-    """Normalise a moment to a naive UTC datetime; ``None`` is now."""
+    """A moment as naive UTC datetime: ISO text, a month (``yyyyMM``, ``yyyy-MM``), or ``None`` for now."""
     if moment is None:
         return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     if isinstance(moment, str):
-        moment = dt.datetime.fromisoformat(moment)
+        month = re.fullmatch(r"(\d{4})-?(\d{2})", moment)
+        moment = dt.datetime.fromisoformat(f"{month[1]}-{month[2]}-01" if month else moment)
     if isinstance(moment, dt.datetime):
         if moment.tzinfo is not None:
             moment = moment.astimezone(dt.timezone.utc).replace(tzinfo=None)

@@ -51,7 +51,7 @@ def laid_out(df: DataFrame, cluster: Sequence[str] = (), counter: Observation |
 
     The rebalance hint lets AQE split a month that is larger than the advisory size (one month may
     be all there is) and merge small ones, so files stay even; sorting narrows the min/max range of
-    the row groups, which is what lets later scans skip them. ``counter`` fills in during the write
+    pages and row groups, which is what lets later scans skip them. ``counter`` fills in during the write
     with the rows and partitions written, without another pass.
     """
     rows = df.hint("rebalance", F.col(PART))

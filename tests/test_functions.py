@@ -128,5 +128,10 @@ def test_typed_texts(spark):
     )
 
 
+@pytest.mark.parametrize("text", ["202211", "2022-11", "2022-11-17", "2022-11-17 10:00:00+00:00"])
+def test_a_month_can_be_named_in_several_ways(text):
+    assert clock.month_bounds(text) == (dt.datetime(2022, 11, 1), dt.datetime(2022, 12, 1))
+
+
 def test_month_bounds_over_the_year_end():
     assert clock.month_bounds("2022-12-15") == (dt.datetime(2022, 12, 1), dt.datetime(2023, 1, 1))
