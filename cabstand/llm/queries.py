@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cabstand.llm import packing
+from cabstand.llm import packing, rules
 from cabstand.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +18,56 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), *byte_bpe()))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signals of every text and the verdict on it after lines that its source repeats are set aside."""
+    judged = rules.verdicts(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "signals.*", F.col("shared_words").alias("n_shared_words"), "kept")
+
+
+OP5_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t, text FROM documents),
+w AS (SELECT r, doc_id, source, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d),
+grams AS (
+  SELECT r, i, md5(w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) AS g
+  FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM w WHERE len(w) > 2)
+),
+again AS (SELECT r, i FROM grams QUALIFY count(*) OVER (PARTITION BY r, g) > 1),
+repeats AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS j FROM again) GROUP BY r),
+raw AS (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d),
+dup AS (
+  SELECT r, count(*) - count(DISTINCT line) AS n FROM raw WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r
+),
+even AS (
+  SELECT r, source, md5(t) AS k,
+    unnest(string_split(regexp_replace(regexp_replace(lower(t), '[\x20\x09\x0B-\x0D]+', ' ', 'g'), '[0-9]+', '0', 'g'), chr(10))) AS line
+  FROM d
+),
+lines AS (SELECT r, source, k, trim(line, ' ') AS line FROM even WHERE trim(line, ' ') <> ''),
+texts AS (SELECT source, count(DISTINCT md5(text)) AS n FROM d WHERE text IS NOT NULL GROUP BY source),
+above AS (
+  SELECT l.source, l.line FROM (SELECT source, line, count(DISTINCT k) AS n FROM lines GROUP BY source, line) l
+  JOIN texts t ON l.source IS NOT DISTINCT FROM t.source
+  WHERE l.n >= 20 AND l.n >= t.n * CAST(0.01 AS DOUBLE)
+),
+shared AS (
+  SELECT l.r, sum(len(string_split(l.line, ' '))) AS n FROM lines l
+  JOIN above a ON l.source IS NOT DISTINCT FROM a.source AND l.line = a.line GROUP BY l.r
+),
+base AS (
+  SELECT w.r, doc_id, len(w.w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+    length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    coalesce(dup.n, 0) AS n_dup_lines, coalesce(repeats.n, 0) AS n_repeat_words, coalesce(shared.n, 0) AS n_shared_words
+  FROM w LEFT JOIN dup USING (r) LEFT JOIN repeats USING (r) LEFT JOIN shared USING (r)
+)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+  CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+  CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, CAST(n_shared_words AS BIGINT) AS n_shared_words,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_shared_words <= n_words * CAST(0.5 AS DOUBLE) AS kept
+FROM base
+"""
+
+
 def byte_bpe() -> tuple[str, str, str]:
     """Rank file, tokenizer file and splitting pattern of the public byte-level vocabulary."""
     import public_tokenizers
@@ -28,5 +79,5 @@ def byte_bpe() -> tuple[str, str, str]:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_best_fit_packing,)}
-SQL: dict[str, str] = {}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_best_fit_packing, op5_quality_rules)}
+SQL: dict[str, str] = {"op5_quality_rules": OP5_SQL}
