@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabstand.llm import packing, rules
+from cabstand.llm import mixing, packing, rules
 from cabstand.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,43 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), *byte_bpe()))
 
 
+def op4_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every drawn copy of a document, sources weighed by the square root of their size, in the order of the shuffle."""
+    docs = table(spark, sf_dir, "documents")
+    return mixing.mixed_copies(docs).select("doc_id", "source", F.col("copy").cast("long").alias("copy"), "shuffle_key")
+
+
+OP4_SQL = """
+WITH RECURSIVE sizes AS (
+  SELECT source, CAST(sum(coalesce(length(text), 0)) AS BIGINT) AS size FROM documents GROUP BY source
+),
+totals AS (SELECT CAST(sum(size) AS DOUBLE) AS a, sum(sqrt(CAST(size AS DOUBLE))) FILTER (size > 0) AS w FROM sizes),
+rates AS (
+  SELECT source, CASE WHEN size = 0 THEN 1.0::DOUBLE ELSE sqrt(CAST(size AS DOUBLE)) / w * a / size END AS rate
+  FROM sizes, totals
+),
+cdf AS (
+  SELECT source, rate, 0 AS k, -rate AS lg, exp(-rate) AS below FROM rates
+  UNION ALL
+  SELECT source, rate, k + 1, lg + ln(rate / (k + 1)), below + exp(lg + ln(rate / (k + 1))) FROM cdf
+  WHERE k < ceil(rate + 12 * sqrt(rate) + 30)
+),
+drawn AS (
+  SELECT row_number() OVER () AS r, doc_id, source,
+    CAST('0x' || substr(md5('17|' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE AS u
+  FROM documents
+),
+counts AS (
+  SELECT r, doc_id, d.source, count(*) FILTER (below <= u) AS n
+  FROM drawn d JOIN cdf c ON d.source IS NOT DISTINCT FROM c.source GROUP BY r, doc_id, d.source
+),
+copies AS (SELECT doc_id, source, unnest(range(1, n + 1)) AS copy FROM counts)
+SELECT doc_id, source, CAST(copy AS BIGINT) AS copy,
+  CAST('0x' || substr(md5('17|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || copy), 1, 13) AS BIGINT) AS shuffle_key
+FROM copies
+"""
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Signals of every text and the verdict on it after lines that its source repeats are set aside."""
     judged = rules.verdicts(table(spark, sf_dir, "documents"))
@@ -79,5 +116,5 @@ def byte_bpe() -> tuple[str, str, str]:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_best_fit_packing, op5_quality_rules)}
-SQL: dict[str, str] = {"op5_quality_rules": OP5_SQL}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_best_fit_packing, op4_mixing_sources, op5_quality_rules)}
+SQL: dict[str, str] = {"op4_mixing_sources": OP4_SQL, "op5_quality_rules": OP5_SQL}
