@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabstand.llm import mixing, packing, rules
+from cabstand.llm import lines, mixing, packing, rules
 from cabstand.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +105,50 @@ FROM base
 """
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document once lines go that equal an earlier one or differ from it by one word."""
+    left = lines.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_lines", "n_removed", F.md5(F.coalesce("text", F.lit(""))).alias("kept_md5"))
+
+
+OP9_SQL = r"""
+WITH raw AS (
+  SELECT doc_id, no, line, trim(regexp_replace(line, '[\x20\x09\x0B-\x0D]+', ' ', 'g'), ' ') AS even
+  FROM (SELECT doc_id, unnest(range(0, len(string_split(text, chr(10))))) AS no, unnest(string_split(text, chr(10))) AS line FROM documents)
+),
+lines AS (SELECT *, string_split(even, ' ') AS w, len(string_split(even, ' ')) AS n FROM raw WHERE len(string_split(even, ' ')) >= 8),
+first AS (SELECT even, any_value(w) AS w, any_value(n) AS n, min((doc_id, no)) AS place FROM lines GROUP BY even),
+keys AS (
+  SELECT *, n AS t, 0 AS side, list_slice(w, 1, n // 2) AS half FROM first
+  UNION ALL SELECT *, n, 1, list_slice(w, n // 2 + 1, n) FROM first
+  UNION ALL SELECT *, n - 1, 0, list_slice(w, 1, (n - 1) // 2) FROM first
+  UNION ALL SELECT *, n - 1, 1, list_slice(w, n - (n - 1 - (n - 1) // 2) + 1, n) FROM first
+),
+pairs AS (
+  SELECT DISTINCT a.even, a.w AS wa, b.w AS wb FROM keys a JOIN keys b
+  ON a.t = b.t AND a.side = b.side AND a.half = b.half AND b.place < a.place AND abs(a.n - b.n) <= 1
+),
+near AS (
+  SELECT DISTINCT even FROM pairs
+  WHERE coalesce(list_position(list_transform(range(1, least(len(wa), len(wb)) + 1), lambda i: wa[i] = wb[i]), false), least(len(wa), len(wb)) + 1) - 1
+    + coalesce(list_position(list_transform(range(1, least(len(wa), len(wb)) + 1), lambda i: list_reverse(wa)[i] = list_reverse(wb)[i]), false), least(len(wa), len(wb)) + 1) - 1
+    >= greatest(len(wa), len(wb)) - 1
+),
+gone AS (
+  SELECT l.doc_id, l.no FROM lines l JOIN first f ON l.even = f.even LEFT JOIN near ON l.even = near.even
+  WHERE near.even IS NOT NULL OR (l.doc_id, l.no) <> f.place
+),
+left_over AS (
+  SELECT r.doc_id, count(*) AS n_lines, count(g.no) AS n_removed,
+    coalesce(string_agg(r.line, chr(10) ORDER BY r.no) FILTER (g.no IS NULL), '') AS kept
+  FROM raw r LEFT JOIN gone g ON r.doc_id = g.doc_id AND r.no = g.no GROUP BY r.doc_id
+)
+SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  md5(coalesce(kept, '')) AS kept_md5
+FROM documents d LEFT JOIN left_over l ON d.doc_id = l.doc_id
+"""
+
+
 def byte_bpe() -> tuple[str, str, str]:
     """Rank file, tokenizer file and splitting pattern of the public byte-level vocabulary."""
     import public_tokenizers
@@ -116,5 +160,5 @@ def byte_bpe() -> tuple[str, str, str]:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_best_fit_packing, op4_mixing_sources, op5_quality_rules)}
-SQL: dict[str, str] = {"op4_mixing_sources": OP4_SQL, "op5_quality_rules": OP5_SQL}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_best_fit_packing, op4_mixing_sources, op5_quality_rules, op9_line_dedup)}
+SQL: dict[str, str] = {"op4_mixing_sources": OP4_SQL, "op5_quality_rules": OP5_SQL, "op9_line_dedup": OP9_SQL}
