@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabstand.llm import lines, mixing, packing, rules
+from cabstand.llm import counts, hnsw, lines, mixing, packing, rules
 from cabstand.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +105,14 @@ FROM base
 """
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pre-tokens and unigram tokens of every document."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return counts.token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document once lines go that equal an earlier one or differ from it by one word."""
     left = lines.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -149,6 +157,12 @@ FROM documents d LEFT JOIN left_over l ON d.doc_id = l.doc_id
 """
 
 
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest by inner product for every vector whose id is divisible by 20, over all vectors."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    return hnsw.search(hnsw.build(vectors), vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
 def byte_bpe() -> tuple[str, str, str]:
     """Rank file, tokenizer file and splitting pattern of the public byte-level vocabulary."""
     import public_tokenizers
@@ -160,5 +174,5 @@ def byte_bpe() -> tuple[str, str, str]:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_best_fit_packing, op4_mixing_sources, op5_quality_rules, op9_line_dedup)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_best_fit_packing, op4_mixing_sources, op5_quality_rules, op8_token_counts, op9_line_dedup, op10_nearest_neighbours)}
 SQL: dict[str, str] = {"op4_mixing_sources": OP4_SQL, "op5_quality_rules": OP5_SQL, "op9_line_dedup": OP9_SQL}
