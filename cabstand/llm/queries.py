@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabstand.llm import counts, hnsw, lines, mixing, packing, rules
+from cabstand.llm import counts, hnsw, lines, mixing, neardup, packing, rules
 from cabstand.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +105,11 @@ FROM base
 """
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of near copies of every document and its links to other texts."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pre-tokens and unigram tokens of every document."""
     import public_tokenizers
@@ -174,5 +179,5 @@ def byte_bpe() -> tuple[str, str, str]:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_best_fit_packing, op4_mixing_sources, op5_quality_rules, op8_token_counts, op9_line_dedup, op10_nearest_neighbours)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_best_fit_packing, op4_mixing_sources, op5_quality_rules, op7_near_duplicates, op8_token_counts, op9_line_dedup, op10_nearest_neighbours)}
 SQL: dict[str, str] = {"op4_mixing_sources": OP4_SQL, "op5_quality_rules": OP5_SQL, "op9_line_dedup": OP9_SQL}
