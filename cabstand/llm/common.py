@@ -30,6 +30,11 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.md5(text))
 
 
+def row_keys(*columns: Column) -> tuple[Column, Column]:
+    """Two hashes, never NULL, that name a row together: rows meet on them by plain equality, NULL ids included."""
+    return F.xxhash64(*columns).alias("k1"), F.xxhash64(F.lit(1), *reversed(columns)).alias("k2")
+
+
 def utf8(text: Column) -> Column:
     """The bytes of a text, none for NULL."""
     return F.coalesce(text, F.lit("")).cast("binary")

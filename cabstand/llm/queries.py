@@ -7,12 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabstand.llm import counts, hnsw, lines, mixing, neardup, packing, rules
+from cabstand.llm import counts, hnsw, lines, mixing, neardup, packing, rules, suffixes
 from cabstand.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the bytes that 100-byte strings from further up repeat."""
+    left = suffixes.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document cut into pieces and packed into sequences of 1024 tokens."""
     return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), *byte_bpe()))
@@ -179,5 +191,5 @@ def byte_bpe() -> tuple[str, str, str]:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_best_fit_packing, op4_mixing_sources, op5_quality_rules, op7_near_duplicates, op8_token_counts, op9_line_dedup, op10_nearest_neighbours)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_suffix_array_dedup, op2_best_fit_packing, op4_mixing_sources, op5_quality_rules, op7_near_duplicates, op8_token_counts, op9_line_dedup, op10_nearest_neighbours)}
 SQL: dict[str, str] = {"op4_mixing_sources": OP4_SQL, "op5_quality_rules": OP5_SQL, "op9_line_dedup": OP9_SQL}
