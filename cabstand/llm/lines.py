@@ -25,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cabstand.llm.common import row_keys
+
 #: Doublings of the prefix scan: lines of up to 2**27 words.
 SCAN_STEPS = 27
 BLANKS = r"[\x20\x09\x0B-\x0D]+"
@@ -52,26 +54,22 @@ def halves(words: Column, n: Column) -> list[Column]:
     return keys(n, False) + keys(n - 1, True)
 
 
-def same(left: list[str], right: list[str]) -> Column:
-    out = F.lit(True)
-    for a, b in zip(left, right):
-        out &= F.col(a).eqNullSafe(F.col(b))
-    return out
+#: Where a line stands; places sort like the lines of the table.
+PLACE = ("t_id", "k1", "k2", "no")
 
 
 def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The one form in which texts are dealt out: every join on them uses the same exchange."""
     body = F.col(text).cast("string")
-    return docs.where(body.isNotNull() & (body != "")).select(
-        F.col(doc_id).alias("t_id"), F.xxhash64(body).alias("t_key"), body.alias("t_text")
-    )
+    return docs.select(F.col(doc_id).alias("t_id"), body.alias("t_text"), *row_keys(F.col(doc_id), body))
 
 
 def _lines(texts: DataFrame, min_words: int) -> DataFrame:
     """One row per line: where it is, two hashes that name it, its length and the four half keys."""
-    rows = texts.select("t_id", "t_key", F.posexplode(even_lines(F.col("t_text"))).alias("no", "line"))
+    rows = texts.select("t_id", "k1", "k2", F.posexplode(even_lines(F.col("t_text"))).alias("no", "line"))
     rows = rows.withColumn("words", F.split("line", " ")).withColumn("n", F.size("words")).where(F.col("n") >= min_words)
-    keys = [key["key"].alias(f"k{i}") for i, key in enumerate(halves(F.col("words"), F.col("n")))]
-    return rows.select("t_id", "t_key", "no", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2"), "n", *keys)
+    keys = [key["key"].alias(f"half{i}") for i, key in enumerate(halves(F.col("words"), F.col("n")))]
+    return rows.select(*PLACE, F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2"), "n", *keys)
 
 
 def _needed(first: DataFrame) -> DataFrame:
@@ -83,7 +81,7 @@ def _needed(first: DataFrame) -> DataFrame:
         F.explode(
             F.array(
                 *[
-                    F.struct(F.col(f"k{i}").alias("key"), F.lit(longer).alias("longer"), F.lit(side).alias("side"))
+                    F.struct(F.col(f"half{i}").alias("key"), F.lit(longer).alias("longer"), F.lit(side).alias("side"))
                     for i, (longer, side) in enumerate(kinds)
                 ]
             )
@@ -123,16 +121,16 @@ def _scanned(df: DataFrame, column: str) -> DataFrame:
 
 def _variants(wanted: DataFrame, texts: DataFrame) -> DataFrame:
     """(n, hash, place, role) of every variant that is needed, with the line it comes from."""
-    per_text = wanted.groupBy(F.col("t_id").alias("w_id"), F.col("t_key").alias("w_key")).agg(
+    per_text = wanted.groupBy(F.col("k1").alias("w1"), F.col("k2").alias("w2")).agg(
         F.collect_list(
             F.struct("no", "h1", "h2", "swap_front", "swap_back", "cut_front", "cut_back", "short")
         ).alias("wanted")
     )
     rows = (
-        texts.join(per_text, same(["t_id", "t_key"], ["w_id", "w_key"]))
-        .select("t_id", "t_key", even_lines(F.col("t_text")).alias("lines"), "wanted")
-        .select("t_id", "t_key", "lines", F.explode("wanted").alias("w"))
-        .select("t_id", "t_key", "w.*", F.split(F.get("lines", F.col("w.no")), " ").alias("words"))
+        texts.join(per_text, (F.col("k1") == F.col("w1")) & (F.col("k2") == F.col("w2")))
+        .select("t_id", "k1", "k2", even_lines(F.col("t_text")).alias("lines"), "wanted")
+        .select("t_id", "k1", "k2", "lines", F.explode("wanted").alias("w"))
+        .select("t_id", "k1", "k2", "w.*", F.split(F.get("lines", F.col("w.no")), " ").alias("words"))
         .withColumn("n", F.size("words"))
         .withColumn("at", F.transform("words", lambda word, i: F.xxhash64(word, i)))
         .withColumn("shifted", F.transform("words", lambda word, i: F.xxhash64(word, i - 1)))
@@ -168,7 +166,7 @@ def _variants(wanted: DataFrame, texts: DataFrame) -> DataFrame:
     )
     whole = F.when(F.col("short") == 1, F.array(variant(F.col("n"), all_at, F.lit(-1), SHORTER))).otherwise(none)
     return rows.select(
-        F.struct("t_id", "t_key", "no").alias("line"), "h1", "h2", F.explode(F.concat(swapped, F.array_distinct(cut), whole)).alias("v")
+        F.struct(*PLACE).alias("line"), "h1", "h2", F.explode(F.concat(swapped, F.array_distinct(cut), whole)).alias("v")
     ).select("line", "h1", "h2", "v.*")
 
 
@@ -187,11 +185,10 @@ def _witnesses(variants: DataFrame) -> DataFrame:
 
 
 def _with_words(pairs: DataFrame, texts: DataFrame, place: str, words: str) -> DataFrame:
-    keyed = pairs.withColumn("p_id", F.col(f"{place}.t_id")).withColumn("p_key", F.col(f"{place}.t_key"))
-    joined = texts.join(keyed, same(["t_id", "t_key"], ["p_id", "p_key"]))
-    return joined.select(
-        *pairs.columns, F.split(F.get(even_lines(F.col("t_text")), F.col(f"{place}.no")), " ").alias(words)
-    )
+    keyed = pairs.withColumn("p1", F.col(f"{place}.k1")).withColumn("p2", F.col(f"{place}.k2"))
+    joined = texts.join(keyed, (F.col("k1") == F.col("p1")) & (F.col("k2") == F.col("p2")))
+    line = F.when(F.col("t_id").eqNullSafe(F.col(f"{place}.t_id")), F.get(even_lines(F.col("t_text")), F.col(f"{place}.no")))
+    return joined.select(*pairs.columns, F.split(line, " ").alias(words))
 
 
 def one_edit(left: Column, right: Column) -> Column:
@@ -204,14 +201,14 @@ def one_edit(left: Column, right: Column) -> Column:
 
 
 def removed_lines(docs: DataFrame, min_words: int = 8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(t_id, t_key, removed): the numbers of the lines that go, for each text that loses any."""
-    texts = _texts(docs, doc_id, text).repartition("t_id", "t_key")
-    lines = _lines(_texts(docs, doc_id, text), min_words)
+    """(k1, k2, removed): the numbers of the lines that go, for each text that loses any."""
+    texts = _texts(docs, doc_id, text)
+    lines = _lines(texts, min_words)
     first = lines.groupBy("h1", "h2").agg(
-        F.min(F.struct("t_id", "t_key", "no")).alias("line"),
+        F.min(F.struct(*PLACE)).alias("line"),
         F.count("*").alias("times"),
         F.first("n").alias("n"),
-        *[F.first(f"k{i}").alias(f"k{i}") for i in range(4)],
+        *[F.first(f"half{i}").alias(f"half{i}") for i in range(4)],
     )
     wanted = first.select("h1", "h2", "line.*").join(_needed(first), ["h1", "h2"])
     pairs = _witnesses(_variants(wanted, texts))
@@ -224,29 +221,35 @@ def removed_lines(docs: DataFrame, min_words: int = 8, doc_id: str = "doc_id", t
         .select(F.col("h1").alias("j1"), F.col("h2").alias("j2"), F.col("line").alias("kept"), F.coalesce("near", F.lit(False)).alias("near"))
     )
     gone = (
-        lines.select("t_id", "t_key", "no", "h1", "h2")
+        lines.select(*PLACE, "h1", "h2")
         .join(judged, (F.col("h1") == F.col("j1")) & (F.col("h2") == F.col("j2")))
-        .where(F.col("near") | ~F.struct("t_id", "t_key", "no").eqNullSafe(F.col("kept")))
+        .where(F.col("near") | ~F.struct(*PLACE).eqNullSafe(F.col("kept")))
     )
-    return gone.groupBy("t_id", "t_key").agg(F.array_distinct(F.collect_list("no")).alias("removed"))
+    return gone.groupBy("k1", "k2").agg(F.array_distinct(F.collect_list("no")).alias("removed"))
 
 
 def deduplicated(docs: DataFrame, min_words: int = 8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the lines that go, with ``n_lines`` and ``n_removed`` (these two replace older ones)."""
     names = [name for name in docs.columns if name not in ("n_lines", "n_removed")]
-    gone = removed_lines(docs, min_words, doc_id, text).select(
-        F.col("t_id").alias("g_id"), F.col("t_key").alias("g_key"), "removed"
-    )
-    body = F.col(text).cast("string")
-    keyed = docs.select(*[F.col(f"`{n}`") for n in names], F.xxhash64(body).alias("t_key"))
-    joined = keyed.join(gone, F.col(doc_id).eqNullSafe(F.col("g_id")) & (F.col("t_key") == F.col("g_key")), "left")
-    parts = F.split(body, "\n")
+    gone = removed_lines(docs, min_words, doc_id, text).withColumnsRenamed({"k1": "g1", "k2": "g2"})
+    others = [name for name in names if name not in (doc_id, text)]
+    texts = _texts(docs, doc_id, text)
+    if others:
+        texts = docs.select(
+            F.col(doc_id).alias("t_id"),
+            F.col(text).cast("string").alias("t_text"),
+            *row_keys(F.col(doc_id), F.col(text).cast("string")),
+            F.struct(*[F.col(f"`{name}`") for name in others]).alias("others"),
+        )
+    joined = texts.join(gone, (F.col("k1") == F.col("g1")) & (F.col("k2") == F.col("g2")), "left")
+    parts = F.split("t_text", "\n")
     left = F.transform(
         F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("removed")), lambda i: F.get(parts, i)
     )
-    kept = F.when(F.col("removed").isNull(), body).otherwise(F.array_join(left, "\n"))
+    kept = F.when(F.col("removed").isNull(), F.col("t_text")).otherwise(F.array_join(left, "\n"))
+    own = {doc_id: F.col("t_id"), text: kept}
     return joined.select(
-        *[kept.alias(text) if n == text else F.col(f"`{n}`") for n in names],
-        F.when(body.isNull(), 0).otherwise(F.size(parts)).cast("long").alias("n_lines"),
+        *[own.get(name, F.col("others").getField(name) if others else None).alias(name) for name in names],
+        F.when(F.col("t_text").isNull(), 0).otherwise(F.size(parts)).cast("long").alias("n_lines"),
         F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
     )

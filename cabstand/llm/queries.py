@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabstand.llm import counts, hnsw, lines, mixing, neardup, packing, rules, suffixes
+from cabstand.llm import counts, hnsw, lines, mixing, neardup, packing, passages, rules, suffixes
 from cabstand.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,11 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), *byte_bpe()))
 
 
+def op3_near_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that shares a passage of 50 words or more with another one, the passages and their class."""
+    return passages.near_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every drawn copy of a document, sources weighed by the square root of their size, in the order of the shuffle."""
     docs = table(spark, sf_dir, "documents")
@@ -191,5 +196,5 @@ def byte_bpe() -> tuple[str, str, str]:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_suffix_array_dedup, op2_best_fit_packing, op4_mixing_sources, op5_quality_rules, op7_near_duplicates, op8_token_counts, op9_line_dedup, op10_nearest_neighbours)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_suffix_array_dedup, op2_best_fit_packing, op3_near_passages, op4_mixing_sources, op5_quality_rules, op7_near_duplicates, op8_token_counts, op9_line_dedup, op10_nearest_neighbours)}
 SQL: dict[str, str] = {"op4_mixing_sources": OP4_SQL, "op5_quality_rules": OP5_SQL, "op9_line_dedup": OP9_SQL}
