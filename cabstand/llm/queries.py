@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabstand.llm import counts, hnsw, lines, mixing, neardup, packing, passages, rules, suffixes
+from cabstand.llm import counts, hnsw, lines, mixing, neardup, packing, passages, rules, secrets, suffixes
 from cabstand.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,6 +122,23 @@ FROM base
 """
 
 
+def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of the patterns' spans in every document, a digest of them, and all spans with the inferred formats."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scanned(docs, secrets.infer_formats(docs))
+    base = F.filter("found", lambda s: s["kind"] != "inferred")
+    count = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    joined = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in secrets.KINDS[:3]],
+        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("found")).alias("spans"),
+    )
+
+
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of near copies of every document and its links to other texts."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -196,5 +213,16 @@ def byte_bpe() -> tuple[str, str, str]:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_suffix_array_dedup, op2_best_fit_packing, op3_near_passages, op4_mixing_sources, op5_quality_rules, op7_near_duplicates, op8_token_counts, op9_line_dedup, op10_nearest_neighbours)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_suffix_array_dedup,
+    op2_best_fit_packing,
+    op3_near_passages,
+    op4_mixing_sources,
+    op5_quality_rules,
+    op6_secret_scans,
+    op7_near_duplicates,
+    op8_token_counts,
+    op9_line_dedup,
+    op10_nearest_neighbours,
+)}
 SQL: dict[str, str] = {"op4_mixing_sources": OP4_SQL, "op5_quality_rules": OP5_SQL, "op9_line_dedup": OP9_SQL}
