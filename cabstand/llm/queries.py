@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabstand.llm import counts, hnsw, lines, mixing, neardup, packing, passages, rules, secrets, suffixes
+from cabstand.llm import counts, credentials, hnsw, lines, mixing, neardup, packing, passages, rules, suffixes
 from cabstand.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,7 +125,7 @@ FROM base
 def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of the patterns' spans in every document, a digest of them, and all spans with the inferred formats."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = secrets.scanned(docs, secrets.infer_formats(docs))
+    found = credentials.scanned(docs, credentials.infer_formats(docs))
     base = F.filter("found", lambda s: s["kind"] != "inferred")
     count = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     joined = lambda spans: F.array_join(
@@ -133,7 +133,7 @@ def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return found.select(
         "doc_id",
-        *[count(kind) for kind in secrets.KINDS[:3]],
+        *[count(kind) for kind in credentials.KINDS[:3]],
         F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
         joined(F.col("found")).alias("spans"),
     )
