@@ -146,8 +146,9 @@ def _joined(docs: DataFrame, shared: DataFrame, host: str) -> DataFrame:
 
 
 def _kept(limits: Limits) -> Column:
-    removed = F.coalesce("shared_words", F.lit(0))
-    return ~F.col("signals.base_failed") & (removed <= F.col("signals.n_words") * limits.max_removed)
+    # One comparison over both sides of the join: a rule on the signals alone would be moved below it and worked out anew there.
+    most = F.when(F.col("signals.base_failed"), F.lit(-1.0)).otherwise(F.col("signals.n_words") * F.lit(limits.max_removed))
+    return F.coalesce("shared_words", F.lit(0)) <= most
 
 
 def verdicts(docs: DataFrame, host: str = "source", text: str = "text", limits: Limits = Limits()) -> DataFrame:
@@ -162,8 +163,9 @@ def cleaned(docs: DataFrame, host: str = "source", text: str = "text", limits: L
     names = [*docs.columns]
     keyed = with_signals(docs, text, limits).withColumn("_key", text_key(F.col(text).cast("string")))
     kept = _joined(keyed, shared_lines(docs, host, text, limits), host).where(_kept(limits))
+    # Lines and their hashes are zipped, not indexed: an array that a lambda names is worked out again for each element.
     hashes = F.transform(normal_lines(F.col(text)), lambda line: F.xxhash64(line))
-    kept = kept.withColumn("_hashes", F.when(F.col("shared_lines").isNotNull(), hashes))
-    left = F.filter(F.split(F.col(text), "\n"), lambda line, i: ~F.array_contains("shared_lines", F.get("_hashes", i)))
+    own = F.zip_with(F.split(F.col(text), "\n"), hashes, lambda line, h: F.when(~F.array_contains("shared_lines", h), line))
+    left = F.filter(own, lambda line: line.isNotNull())
     body = F.when(F.col("shared_lines").isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
     return kept.select(*[body.alias(text) if name == text else F.col(f"`{name}`") for name in names])
