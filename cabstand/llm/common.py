@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabstand.session import cut_lineage
+from cabstand.session import cut_lineage, scratch
 
 #: A word is a run of characters that are none of the six ASCII white-space characters.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -25,6 +25,13 @@ def stored(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table in the shared folder: smaller than a checkpoint, for rows that several later steps read."""
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def text_key(text: Column) -> Column:
     """Sixteen bytes that name a text; equal texts only have equal keys."""
     return F.unhex(F.md5(text))
@@ -56,11 +63,19 @@ STEP, WORD_STEP = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(STEP))
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64."""
-    out = np.full(max(n, 1), base, dtype=np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+    """base**0 .. base**(n-1) modulo 2**64. A task keeps those of the longest stretch up to four million."""
+    known = _POWERS.get(base)
+    if known is None or len(known) < n:
+        known = np.full(max(n, 1 << 18), base, dtype=np.uint64)
+        known[0] = 1
+        known = np.multiply.accumulate(known)
+        if n <= 1 << 22:
+            _POWERS[base] = known
+    return known[:n]
 
 
 class Rolling:

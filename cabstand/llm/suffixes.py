@@ -42,11 +42,11 @@ class Setting:
     sample of about ``sample_bytes``; a block of suffixes has about ``block_bytes``."""
 
     length: int = 100
-    anchor: int = 32
+    anchor: int = 24
     sample_bytes: int = 16 << 20
     frequent: int = 8
     block_bytes: int = 2 << 20
-    stretch: int = 1 << 20
+    stretch: int = 1 << 17
 
     @property
     def anchors(self) -> int:
@@ -159,7 +159,7 @@ def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     number = F.col(doc_id).cast("long")
     # The number for joins is never NULL; the key tells a NULL id from the number that stands for it.
     return docs.select(
-        number.alias("d_id"), F.xxhash64(body, number.isNull()).alias("d_key"), body.alias("body"), _number(number).alias("d_number")
+        number.alias("d_id"), F.hash(body, number.isNull()).alias("d_key"), body.alias("body"), _number(number).alias("d_number")
     )
 
 
@@ -167,14 +167,14 @@ def _number(doc_id):
     return F.coalesce(doc_id, F.lit(0).cast("long"))
 
 
-CHUNK = "d_id long, d_key long, start long, windows long, name long, body_hash long, again boolean, gone boolean"
+CHUNK = "d_id long, d_key int, start long, windows long, name long, body_hash long, again boolean, gone boolean"
 
 
 def frequent_anchors(texts: DataFrame, setting: Setting) -> np.ndarray:
     """Hashes of the anchors that a sample of about ``sample_bytes`` holds too often. One task counts that sample."""
     size = texts.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     share = min(1.0, setting.sample_bytes / max(size, 1))
-    drawn = texts.where(F.pmod("d_key", F.lit(1 << 20)) < int(share * (1 << 20)) + 1).select("body")
+    drawn = texts.where(F.pmod(F.col("d_key"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).select("body")
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = []
@@ -396,11 +396,14 @@ def _from_suffixes(wanted: DataFrame, setting: Setting) -> DataFrame:
             yield flush(pa.Table.from_batches(waiting))
 
     gathered = wanted.repartition("name").sortWithinPartitions("name", "d_id", "d_key", "start")
-    return gathered.mapInArrow(find, "d_id long, d_key long, start long, end long")
+    return gathered.mapInArrow(find, "d_id long, d_key int, start long, end long")
 
 
-def repeated_spans(docs: DataFrame, setting: Setting = Setting(), doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """The texts (d_id, d_key, body, d_number) and (r_number, r_key, spans) of those that lose bytes."""
+def repeated_spans(docs: DataFrame, setting: Setting = Setting(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(d_id, body, chunks, spans) of every row: chunks known to repeat an earlier one, spans found by sorting suffixes.
+
+    All of it is one plan, in which chunks are worked out once and the texts are dealt out once.
+    """
     source = _texts(docs, doc_id, text)
     rows = _chunk_rows(source, frequent_anchors(source, setting), setting)
     by_name = Window.partitionBy("name")
@@ -411,10 +414,9 @@ def repeated_spans(docs: DataFrame, setting: Setting = Setting(), doc_id: str =
     per_text = told.groupBy(_number(F.col("d_id")).alias("c_number"), F.col("d_key").alias("c_key")).agg(
         F.collect_list(F.struct("name", "start", "windows", "gone")).alias("chunks")
     )
-    same = (F.col("d_number") == F.col("c_number")) & (F.col("d_key") == F.col("c_key"))
+    dealt = source.join(per_text, (F.col("d_number") == F.col("c_number")) & (F.col("d_key") == F.col("c_key")), "left")
     fetched = (
-        source.join(per_text, same)
-        .select("d_id", "d_key", "body", F.explode(F.filter("chunks", lambda c: ~c["gone"])).alias("c"))
+        dealt.select("d_id", "d_key", "body", F.explode(F.filter("chunks", lambda c: ~c["gone"])).alias("c"))
         .select(
             F.col("c.name").alias("name"),
             "d_id",
@@ -422,42 +424,46 @@ def repeated_spans(docs: DataFrame, setting: Setting = Setting(), doc_id: str =
             F.col("c.start").alias("start"),
             F.substring("body", (F.col("c.start") + 1).cast("int"), (F.col("c.windows") + setting.length - 1).cast("int")).alias("bytes"),
         )
-        .distinct()
     )
-    span = lambda start, end: F.struct(start.alias("start"), end.alias("end"))
-    known = told.where("gone").select("d_id", "d_key", span(F.col("start"), F.col("start") + F.col("windows") + setting.length - 1).alias("span"))
-    sorted_out = _from_suffixes(fetched, setting).select("d_id", "d_key", span(F.col("start"), F.col("end")).alias("span"))
-    spans = known.unionByName(sorted_out).groupBy(_number(F.col("d_id")).alias("r_number"), F.col("d_key").alias("r_key")).agg(F.collect_list("span").alias("spans"))
-    return source, spans
+    sorted_out = _from_suffixes(fetched, setting).groupBy(_number(F.col("d_id")).alias("r_number"), F.col("d_key").alias("r_key"))
+    sorted_out = sorted_out.agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    whole = dealt.join(sorted_out, (F.col("d_number") == F.col("r_number")) & (F.col("d_key") == F.col("r_key")), "left")
+    return whole.select("d_id", "body", "chunks", "spans")
 
 
 def deduplicated(docs: DataFrame, setting: Setting = Setting(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_bytes, kept, spans) per row: the bytes left and the removed stretches, in order."""
-    texts, spans = repeated_spans(docs, setting, doc_id, text)
-    merged = "array<struct<start:bigint,end:bigint>>"
+    whole = repeated_spans(docs, setting, doc_id, text)
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
             kept, removed = [], []
-            for body, found in zip(batch.column(1), batch.column(2)):
+            for body, chunked, sorted_out in zip(batch.column(1), batch.column(2), batch.column(3)):
                 data = body.as_buffer()
-                if not found.is_valid or not len(found):
+                starts, ends = [], []
+                if chunked.is_valid and len(chunked):
+                    _, start, windows, gone = (f.to_numpy(zero_copy_only=False) for f in chunked.values.flatten())
+                    starts.append(start[gone])
+                    ends.append(start[gone] + windows[gone] + setting.length - 1)
+                if sorted_out.is_valid and len(sorted_out):
+                    start, end = (f.to_numpy() for f in sorted_out.values.flatten())
+                    starts.append(start)
+                    ends.append(end)
+                if not sum(map(len, starts)):
                     kept.append(data.to_pybytes())
                     removed.append([])
                     continue
-                parts = found.values.flatten()
-                _, starts, ends = joined(np.zeros(len(found), dtype=np.int64), parts[0].to_numpy(), parts[1].to_numpy())
+                starts, ends = np.concatenate(starts), np.concatenate(ends)
+                _, starts, ends = joined(np.zeros(len(starts), dtype=np.int64), starts, ends)
                 mask = np.ones(data.size, dtype=bool)
                 for a, b in zip(starts.tolist(), ends.tolist()):
                     mask[a:b] = False
                 kept.append(np.frombuffer(data, dtype=np.uint8)[mask].tobytes())
                 removed.append([{"start": a, "end": b} for a, b in zip(starts.tolist(), ends.tolist())])
-            kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.compute.binary_length(batch.column(1)).cast(pa.int64()), pa.array(kept, pa.binary()), pa.array(removed, kind)],
                 [doc_id, "n_bytes", "kept", "spans"],
             )
 
-    same = (F.col("d_number") == F.col("r_number")) & (F.col("d_key") == F.col("r_key"))
-    whole = texts.join(spans, same, "left").select("d_id", "body", "spans")
-    return whole.mapInArrow(cut, f"{doc_id} long, n_bytes long, kept binary, spans {merged}")
+    return whole.mapInArrow(cut, f"{doc_id} long, n_bytes long, kept binary, spans array<struct<start:bigint,end:bigint>>")
