@@ -3,9 +3,8 @@
 The patterns label credentials. From a bounded sample of labelled values, at most ``labelled`` of each kind, a probabilistic
 automaton is inferred per kind: the prefix tree of the values, written as character classes, whose states are merged where their
 counts of symbols and ends agree within a Hoeffding bound. Every maximal run of credential characters in every text is a
-candidate; its score is the log likelihood ratio per character between the best automaton and ordinary runs. The limit comes
-from labelled values that the automata have not seen and from ordinary runs: it lets ``recall`` of the former pass, and is raised
-above all of the latter. Candidates above it that no pattern has found are added.
+candidate; its score is the log likelihood ratio per character between the best automaton and ordinary runs. The limit lies
+half-way between ordinary runs and labelled values that the automata have not seen, of which at least ``recall`` pass. Candidates above it that no pattern has found are added.
 
 Nulls and ties: NULL and empty texts have no spans; rows that repeat are scanned alike; spans are counted in
 code points; of spans that start together the kinds are ordered as listed; other columns pass through. Without labelled
@@ -32,6 +31,8 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 RUN = re.compile(r"[A-Za-z0-9+/_.=-]+")
+#: A candidate is at least this many nats per character likelier as a credential than as an ordinary run.
+LEAST_RATIO = 0.5
 LEAST = {"assign": 12, "access": 18, "hex": 16, "inferred": 16}
 
 IN_RUN = np.zeros(256, dtype=bool)
@@ -151,7 +152,7 @@ class Ordinary:
     def score(self, symbols: str) -> float:
         symbols = "^" + symbols + "$"
         return sum(
-            math.log((self.pairs.get(a + b, 0) + 0.1) / (self.firsts.get(a, 0) + 1.2)) for a, b in zip(symbols, symbols[1:])
+            math.log((self.pairs.get(a + b, 0) + 1) / (self.firsts.get(a, 0) + 12)) for a, b in zip(symbols, symbols[1:])
         )
 
 
@@ -254,8 +255,10 @@ def infer_formats(docs: DataFrame, labelled: int = 600, recall: float = 0.95, te
     if not automata:
         return formats
     held = sorted(formats.score(v) for kind in automata for v in hold(of(kind)))
-    plain = max((formats.score(v) for v in of("ordinary")), default=0.0)
-    formats.limit = max(held[int((1 - recall) * len(held))], plain + 0.05, 0.0)
+    # Ordinary runs may hold a credential that no pattern names, so their highest scores don't count.
+    plain = sorted(map(formats.score, of("ordinary"))) or [0.0]
+    plain = plain[int(0.98 * (len(plain) - 1))]
+    formats.limit = max((held[int((1 - recall) * len(held))] + plain) / 2, LEAST_RATIO)
     return formats
 
 
