@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cabstand.llm.common import row_keys
+from cabstand.llm.common import row_keys, written
 
 #: Doublings of the prefix scan: lines of up to 2**27 words.
 SCAN_STEPS = 27
@@ -172,8 +172,11 @@ def _variants(wanted: DataFrame, texts: DataFrame) -> DataFrame:
 
 def _witnesses(variants: DataFrame) -> DataFrame:
     """(h1, h2, line, other): an earlier line that shares a variant."""
+    # Both sides below take all columns, so that they share one exchange and variants are worked out once.
+    variants = variants.repartition("n", "hash", "place")
+    origin = F.struct("line", "h1", "h2")
     groups = variants.groupBy(F.col("n").alias("g_n"), F.col("hash").alias("g_hash"), F.col("place").alias("g_place")).agg(
-        *[F.min(F.when(F.col("role") == role, F.col("line"))).alias(f"first{role}") for role in (SUBSTITUTED, LONGER, SHORTER)]
+        *[F.min(F.when(F.col("role") == role, origin)).alias(f"first{role}") for role in (SUBSTITUTED, LONGER, SHORTER)]
     )
     met = variants.join(groups, (F.col("n") == F.col("g_n")) & (F.col("hash") == F.col("g_hash")) & (F.col("place") == F.col("g_place")))
     other = (
@@ -181,7 +184,8 @@ def _witnesses(variants: DataFrame) -> DataFrame:
         .when(F.col("role") == LONGER, F.col(f"first{SHORTER}"))
         .otherwise(F.col(f"first{LONGER}"))
     )
-    return met.withColumn("other", other).where(F.col("other") < F.col("line")).select("h1", "h2", "line", "other").distinct()
+    met = met.withColumn("origin", other).where((F.col("origin.h1") != F.col("h1")) | (F.col("origin.h2") != F.col("h2")))
+    return met.withColumn("other", F.col("origin.line")).where(F.col("other") < F.col("line")).select("h1", "h2", "line", "other").distinct()
 
 
 def _with_words(pairs: DataFrame, texts: DataFrame, place: str, words: str) -> DataFrame:
@@ -210,6 +214,7 @@ def removed_lines(docs: DataFrame, min_words: int = 8, doc_id: str = "doc_id", t
         F.first("n").alias("n"),
         *[F.first(f"half{i}").alias(f"half{i}") for i in range(4)],
     )
+    first = written(first, "lines")
     wanted = first.select("h1", "h2", "line.*").join(_needed(first), ["h1", "h2"])
     pairs = _witnesses(_variants(wanted, texts))
     pairs = _with_words(_with_words(pairs, texts, "line", "words"), texts, "other", "other_words")
@@ -229,8 +234,9 @@ def removed_lines(docs: DataFrame, min_words: int = 8, doc_id: str = "doc_id", t
 
 
 def deduplicated(docs: DataFrame, min_words: int = 8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the lines that go, with ``n_lines`` and ``n_removed`` (these two replace older ones)."""
-    names = [name for name in docs.columns if name not in ("n_lines", "n_removed")]
+    """``docs`` without the lines that go, with ``n_lines``, ``n_compared`` (lines of ``min_words`` words) and
+    ``n_removed``; these three replace older ones."""
+    names = [name for name in docs.columns if name not in ("n_lines", "n_compared", "n_removed")]
     gone = removed_lines(docs, min_words, doc_id, text).withColumnsRenamed({"k1": "g1", "k2": "g2"})
     others = [name for name in names if name not in (doc_id, text)]
     texts = _texts(docs, doc_id, text)
@@ -242,14 +248,18 @@ def deduplicated(docs: DataFrame, min_words: int = 8, doc_id: str = "doc_id", te
             F.struct(*[F.col(f"`{name}`") for name in others]).alias("others"),
         )
     joined = texts.join(gone, (F.col("k1") == F.col("g1")) & (F.col("k2") == F.col("g2")), "left")
-    parts = F.split("t_text", "\n")
+    # A column of its own that is used more than once, so that the lambda below doesn't split the text again for each line.
+    joined = joined.withColumn("parts", F.split("t_text", "\n")).withColumn("n_parts", F.size("parts"))
     left = F.transform(
-        F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("removed")), lambda i: F.get(parts, i)
+        F.array_except(F.sequence(F.lit(0), F.col("n_parts") - 1), F.col("removed")), lambda i: F.get("parts", i)
     )
     kept = F.when(F.col("removed").isNull(), F.col("t_text")).otherwise(F.array_join(left, "\n"))
     own = {doc_id: F.col("t_id"), text: kept}
     return joined.select(
         *[own.get(name, F.col("others").getField(name) if others else None).alias(name) for name in names],
-        F.when(F.col("t_text").isNull(), 0).otherwise(F.size(parts)).cast("long").alias("n_lines"),
+        F.when(F.col("t_text").isNull(), 0).otherwise(F.col("n_parts")).cast("long").alias("n_lines"),
+        F.size(F.filter(even_lines(F.coalesce("t_text", F.lit(""))), lambda line: F.size(F.split(line, " ")) >= min_words))
+        .cast("long")
+        .alias("n_compared"),
         F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
     )
