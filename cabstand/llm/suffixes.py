@@ -43,9 +43,9 @@ class Setting:
 
     length: int = 100
     anchor: int = 24
-    sample_bytes: int = 16 << 20
-    frequent: int = 8
-    block_bytes: int = 2 << 20
+    sample_bytes: int = 8 << 20
+    frequent: int = 6
+    block_bytes: int = 1 << 20
     stretch: int = 1 << 17
 
     @property
