@@ -100,7 +100,7 @@ def monthly_report(spark, sf):
 
 @query("d1_d7_monthly_summary", f"{_GROUP_HOUR} SELECT {_SUMMARY_COLUMNS} FROM summary")
 def d1(spark, sf):
-    """Six keys, nine sums, two averages, count, durations, busiest hour of each group: one shuffle."""
+    """Six keys, nine sums, two averages, count, durations, busiest hour of each group: two shuffles, per key and hour, then per key."""
     return rounded(summary.monthly_summary(trips(spark, sf), YELLOW))
 
 

@@ -134,12 +134,26 @@ def b12(spark, sf):
     return filters.since_day(table(spark, sf, "orders"), "o_orderdate", "2001-02-11").select("o_orderkey", "o_orderstatus")
 
 
-@query("b13_h26_random_share")
+@query("b13_h26_random_share", "SELECT true AS from_source, true AS none_twice, true AS near_share, count(*) AS source_rows FROM orders")
 def b13(spark, sf):
-    return filters.random_share(table(spark, sf, "orders"), 0.1, seed=7)
+    """Facts about a random tenth: its rows are rows of the table, none comes twice, and the share is within five deviations."""
+    orders = table(spark, sf, "orders").select("o_orderkey")
+    drawn = filters.random_share(orders, 0.1, seed=7).groupBy("o_orderkey").agg(F.count("*").alias("times"))
+    both = orders.join(drawn.withColumnRenamed("o_orderkey", "key"), F.col("o_orderkey") == F.col("key"), "full")
+    n = F.count("o_orderkey")
+    return both.agg(
+        (F.count(F.when(F.col("o_orderkey").isNull(), 1)) == 0).alias("from_source"),
+        (F.max(F.coalesce("times", F.lit(0))) == 1).alias("none_twice"),
+        (F.abs(F.count("key") - n * 0.1) <= 5 * F.sqrt(n * 0.09)).alias("near_share"),
+        n.alias("source_rows"),
+    )
 
 
-@query("b13_keyed_share")
+@query(
+    "b13_keyed_share",
+    """SELECT * FROM orders
+       WHERE CAST('0x' || substr(md5('7|' || CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE < 0.1::DOUBLE""",
+)
 def b13_keyed(spark, sf):
     return filters.keyed_share(table(spark, sf, "orders"), ["o_orderkey"], 0.1, seed=7)
 

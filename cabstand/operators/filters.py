@@ -55,8 +55,9 @@ def keyed_share(df: DataFrame, keys: Iterable[str], fraction: float, seed: int =
 
 
 def keyed_fraction(keys: Iterable[str], seed: int = 0) -> Column:
-    """A number in [0, 1) fixed by the keys and the seed."""
-    return F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1_000_000)) / 1_000_000
+    """A number in [0, 1) fixed by the keys and the seed: the first 32 bits of an MD5 that SQL can state too."""
+    joined = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("")) for k in keys])
+    return F.conv(F.substring(F.md5(joined), 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32))
 
 
 def choose(df: DataFrame, column: str, values: str | Iterable[str]) -> DataFrame:

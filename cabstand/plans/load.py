@@ -64,13 +64,20 @@ def run_month(
     as_of: clock.Moment | None = None,
     busiest_scope: str = "group",
     null_policy: str = "triage",
+    suite: Suite | None = None,
+    threshold: str | float = "100%",
+    results_path: str | None = None,
 ) -> LoadReport:
     """Load one month; running it again gives the same tables.
 
+    With a ``suite`` the source is validated first, and nothing is written below the ``threshold``.
+
     The source is scanned twice: once narrow for the summary, once in full for clean and triage
     together (one write, partitioned by route), instead of once per output. Nothing is cached, so a
     lost executor costs only its own tasks.
     """
+    if suite is not None:
+        validate(file_sources.read_parquet(spark, source), suite, threshold, as_of, results_path)
     rows = month_input(file_sources.read_parquet(spark, source), spec, month)
     month_folder = f"{clock.month_bounds(month)[0]:%Y%m}"
     table = summary.monthly_summary(rows, spec, busiest_scope)
@@ -94,14 +101,21 @@ def run_full(
     as_of: clock.Moment | None = None,
     busiest_scope: str = "group",
     null_policy: str = "triage",
+    suite: Suite | None = None,
+    threshold: str | float = "100%",
+    results_path: str | None = None,
 ) -> LoadReport:
     """Rebuild both tables from all files of a manifest.
 
+    With a ``suite`` all rows are validated first, and nothing is written below the ``threshold``.
+
     All schema groups are united first and summarised once, so a key and month that spans groups is
     one row. The summary covers everything; trips are kept for the recent months.
     """
     groups = file_sources.drift_groups(manifest)
     rows = file_sources.read_groups(spark, groups, spec.columns)
+    if suite is not None:
+        validate(rows, suite, threshold, as_of, results_path)
     table = summary.monthly_summary(rows, spec, busiest_scope)
     wrote_summary = tables.replace_table(
         table, out.summary, "first_day_of_month", spec.cluster_summary, f"summary-{spec.name}-full"

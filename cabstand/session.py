@@ -32,13 +32,15 @@ def build_session(app: str = "cabstand", master: str | None = None, **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
-    On a cluster this is ``spark.checkpoint.dir``. Only when that is unset (tests, one machine) a
-    temporary folder is made and remembered for the session.
+    On a cluster this is ``spark.checkpoint.dir``, or the checkpoint folder of the context. Only on one machine
+    (a local master) a temporary folder is made where neither is set, and remembered for the session.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         context = spark.sparkContext
         named = context.getCheckpointDir()
+        if not named and not context.master.split("[")[0] == "local":
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         if not named:
             named = tempfile.mkdtemp(prefix="cabstand-")
             context.setCheckpointDir(named)

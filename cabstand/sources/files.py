@@ -74,19 +74,62 @@ def _any_prefix(name, prefixes: Sequence[str]):
     return found
 
 
-def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+#: Session options that a footer reader needs to open the same stores as Spark does.
+_STORE_OPTIONS = (
+    "fs.defaultFS", "fs.s3a.access.key", "fs.s3a.secret.key", "fs.s3a.session.token", "fs.s3a.endpoint",
+    "fs.s3a.endpoint.region", "fs.s3a.connection.ssl.enabled",
+)
+
+
+def store_options(spark: SparkSession) -> dict[str, str]:
+    """The session's Hadoop options for object stores, to be shipped to the tasks."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    found = {name: conf.get(name) for name in _STORE_OPTIONS}
+    prefix = "fs.azure.account.key."
+    found |= {prefix + host: key for host, key in dict(conf.getPropsWithPrefix(prefix)).items()}
+    return {name: value for name, value in found.items() if value}
+
+
+def arrow_store(link: str, options: Mapping[str, str]):
+    """``(file system, path)`` with which pyarrow opens a link that Spark has listed."""
     import pyarrow.fs as pafs
+
+    if "://" not in link:
+        return pafs.LocalFileSystem(), "/" + link.removeprefix("file:").lstrip("/")
+    scheme, rest = link.split("://", 1)
+    if scheme == "file":
+        return pafs.LocalFileSystem(), "/" + rest.lstrip("/")
+    if scheme in ("s3", "s3a", "s3n"):
+        endpoint = options.get("fs.s3a.endpoint")
+        given = {
+            "access_key": options.get("fs.s3a.access.key"),
+            "secret_key": options.get("fs.s3a.secret.key"),
+            "session_token": options.get("fs.s3a.session.token"),
+            "region": options.get("fs.s3a.endpoint.region"),
+            "endpoint_override": endpoint.split("://")[-1] if endpoint else None,
+            "scheme": "http" if options.get("fs.s3a.connection.ssl.enabled") == "false" else "https",
+        }
+        return pafs.S3FileSystem(**{k: v for k, v in given.items() if v}), rest
+    if scheme in ("abfs", "abfss"):
+        container, _, host = rest.partition("/")[0].partition("@")
+        account = host.split(".")[0]
+        key = options.get(f"fs.azure.account.key.{host}")
+        return pafs.AzureFileSystem(account, account_key=key), f"{container}/{rest.partition('/')[2]}"
+    if scheme == "gs":
+        return pafs.GcsFileSystem(), rest
+    if scheme == "hdfs":
+        authority = rest.partition("/")[0] or options.get("fs.defaultFS", "").split("://")[-1].strip("/")
+        return pafs.HadoopFileSystem.from_uri(f"hdfs://{authority or 'default'}"), "/" + rest.partition("/")[2]
+    raise ValueError(f"footers can't be read from {scheme}:// paths: {link}")
+
+
+def _footers(batches: Iterator[pa.RecordBatch], options: Mapping[str, str]) -> Iterator[pa.RecordBatch]:
     import pyarrow.parquet as pq
 
     for batch in batches:
         rows = []
         for link in batch.column("path").to_pylist():
-            if link.startswith("file:"):
-                filesystem, name = pafs.LocalFileSystem(), "/" + link[len("file:"):].lstrip("/")
-            elif "://" in link:
-                filesystem, name = pafs.FileSystem.from_uri(link)
-            else:
-                filesystem, name = pafs.LocalFileSystem(), link
+            filesystem, name = arrow_store(link, options)
             with filesystem.open_input_file(name) as handle:
                 schema = pq.read_schema(handle)
             rows += [(link, pos, column.name, str(column.type)) for pos, column in enumerate(schema)]
@@ -105,7 +148,8 @@ def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def footer_schemas(files: DataFrame, tasks: int | None = None) -> DataFrame:
     """One row per file and field, from the file footers, read in parallel on the executors."""
     tasks = tasks or files.sparkSession.sparkContext.defaultParallelism
-    return files.select("path").repartition(tasks, "path").mapInArrow(_footers, FOOTER_SCHEMA)
+    options = store_options(files.sparkSession)
+    return files.select("path").repartition(tasks, "path").mapInArrow(lambda batches: _footers(batches, options), FOOTER_SCHEMA)
 
 
 def wide_schemas(footers: DataFrame, columns: Sequence[str]) -> DataFrame:

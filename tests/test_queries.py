@@ -3,12 +3,13 @@
 import pytest
 
 import __spark_entry__ as entry
+from cabstand import catalog
 from check_queries import compare, connect
 from tests.support import plan_of
 
 # No Python per row, no pairing of everything with everything, no window in one task.
 BANNED = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas")
-SQL = entry.oracle_sql()
+SQL = catalog.oracle_sql()
 SLOW = {"l2_l7_m7_k3_train_and_score", "l5_trials"}  # covered by the model test
 
 
@@ -17,9 +18,9 @@ def connection(sf):
     return connect(sf)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(catalog.queries()) - SLOW))
 def test_query(spark, sf, connection, name):
-    frame = entry.queries()[name](spark, sf)
+    frame = catalog.queries()[name](spark, sf)
     plan = plan_of(frame)
     assert [node for node in BANNED if node in plan] == []
     if name not in SQL:
@@ -30,7 +31,7 @@ def test_query(spark, sf, connection, name):
 
 
 def test_every_sql_has_its_query():
-    assert set(SQL) <= set(entry.queries())
+    assert set(SQL) <= set(catalog.queries())
 
 
 def test_entry_runs(spark):

@@ -235,14 +235,12 @@ def test_undeclared_columns_are_refused(spark):
     assert tables.enforced(trips(spark).drop("extra"), TRIP_COLUMNS).columns == list(TRIP_COLUMNS)
 
 
-def test_sample_is_capped_and_moves_little_more_than_the_cap(spark):
+def test_samples_leave_out_nothing(spark):
     df = spark.range(100_000).withColumn("date", F.current_date())
-    assert samples.training_sample(df, cap=500, seed=1).count() == 500
-    assert samples.training_sample(df, cap=500, seed=1).columns == ["id"]
+    assert samples.training_sample(df, share=1.0, seed=1).count() == df.count()
+    assert samples.training_sample(df, seed=1).columns == ["id"]
     assert 9000 < samples.training_sample(df, seed=1).count() < 11000
-    assert samples.share_for(10**12, 0.1, 800_000) < 1e-6
-    assert samples.share_for(1000, 0.1, 800_000) == 0.1
-    assert samples.query_sample(spark, "SELECT * FROM range(10)", 3).count() == 3
+    assert samples.query_sample(spark, "SELECT * FROM range(1000000)").count() == 1_000_000
 
 
 def test_view_follows_its_source(spark, sf):
@@ -265,3 +263,25 @@ def test_join_helpers_never_force_a_broadcast(spark, sf):
 
     joined = joins.with_roles(bound(spark, sf), places(spark, sf), "LocationID", {"p_": "PULocationID"}, {"zone": "zone"})
     assert "ResolvedHint" not in plan_of(joined)
+
+
+def test_footer_stores_follow_the_scheme():
+    options = {"fs.s3a.access.key": "a", "fs.s3a.secret.key": "b", "fs.s3a.endpoint": "http://store:9000", "fs.s3a.endpoint.region": "x"}
+    for link in ("s3a://bucket/a/b.parquet", "s3://bucket/a/b.parquet"):
+        store, path = files.arrow_store(link, options)
+        assert store.type_name == "s3" and store.region == "x" and path == "bucket/a/b.parquet"
+    for link in ("/tmp/b.parquet", "file:/tmp/b.parquet", "file:///tmp/b.parquet"):
+        store, path = files.arrow_store(link, {})
+        assert store.type_name == "local" and path == "/tmp/b.parquet"
+    with pytest.raises(ValueError):
+        files.arrow_store("odd://somewhere/b.parquet", {})
+
+
+def test_no_machine_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from cabstand.session import shared_dir
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    with pytest.raises(ValueError):
+        shared_dir(SimpleNamespace(conf={}, sparkContext=context))
