@@ -7,6 +7,7 @@ neither loses nor repeats messages; nothing here keeps state, so no watermark is
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -72,6 +73,9 @@ def routed(
     ).drop("error")
 
 
+BATCH = "batch"
+
+
 def start_ingest(
     messages: DataFrame,
     spec: DatasetSpec,
@@ -86,18 +90,20 @@ def start_ingest(
     """Start the ingest; with ``once`` it takes what is there and stops.
 
     ``every`` sets the micro-batch interval and with it the size of the files. The rows of a batch
-    are gathered by folder before the write; AQE, which also covers stateless streams, splits a
-    folder that holds most of the batch over several tasks.
+    are gathered by folder before the write; AQE splits a folder that holds most of the batch over several tasks.
+
+    The folders are those of the batch load (month, then route), so retention drops a month here as there. Below
+    them each batch writes a folder of its own and replaces it when it runs again; no log lists the files, so a
+    folder that retention has dropped is not missed.
     """
+    stream = hashlib.md5(checkpoint.encode()).hexdigest()[:8]
+
+    def append(batch: DataFrame, number: int) -> None:
+        rows = batch.hint("rebalance", F.col(PART), F.col(routing.ROUTE)).withColumn(BATCH, F.lit(f"{stream}-{number}"))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART, routing.ROUTE, BATCH).parquet(table)
+
     rows = routed(messages, spec, as_of, unknown_fields)
-    writer = (
-        rows.hint("rebalance", F.col(routing.ROUTE), F.col(PART))
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", table)
-        .option("checkpointLocation", checkpoint)
-        .partitionBy(routing.ROUTE, PART)
-    )
+    writer = rows.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)
@@ -106,7 +112,7 @@ def start_ingest(
 
 def read_route(spark: SparkSession, table: str, route: str) -> DataFrame:
     """Rows of one route; the other routes' folders are not opened."""
-    rows = spark.read.parquet(table).where(F.col(routing.ROUTE) == route)
+    rows = spark.read.parquet(table).where(F.col(routing.ROUTE) == route).drop(BATCH)
     return rows.withColumn(PART, F.col(PART).cast("string"))
 
 
