@@ -8,7 +8,7 @@ The join is on deletion neighbourhoods: a line is joined with others through the
 left out. Two lines of equal length differ in one place at most if their variants without that place are equal; a line is
 another one with a word more if leaving that word out gives it. Grouping by (length, hash, place) therefore makes every
 member of a group a partner of all others, and by (length, hash) each longer line a partner of the shorter one. The
-earliest member of a group is the only one that a group has to tell the others, so groups are aggregates, never pairs.
+earliest member of a group is the only one that a group has to tell the others: a minimum over the group, never pairs.
 Before that, two cheap keys per length set most lines aside without losing any: of two lines at distance one, either the
 first half or the second half is equal word for word. Only lines that share such a half spell out their variants, and
 only those with the left-out word in the other half. What variants have joined is verified on the words themselves.
@@ -22,7 +22,7 @@ hash of the text decides their order. Other columns pass through.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cabstand.llm.common import row_keys, written
@@ -172,13 +172,12 @@ def _variants(wanted: DataFrame, texts: DataFrame) -> DataFrame:
 
 def _witnesses(variants: DataFrame) -> DataFrame:
     """(h1, h2, line, other): an earlier line that shares a variant."""
-    # Both sides below take all columns, so that they share one exchange and variants are worked out once.
-    variants = variants.repartition("n", "hash", "place")
+    group = Window.partitionBy("n", "hash", "place")
     origin = F.struct("line", "h1", "h2")
-    groups = variants.groupBy(F.col("n").alias("g_n"), F.col("hash").alias("g_hash"), F.col("place").alias("g_place")).agg(
-        *[F.min(F.when(F.col("role") == role, origin)).alias(f"first{role}") for role in (SUBSTITUTED, LONGER, SHORTER)]
+    met = variants.select(
+        "*",
+        *[F.min(F.when(F.col("role") == role, origin)).over(group).alias(f"first{role}") for role in (SUBSTITUTED, LONGER, SHORTER)],
     )
-    met = variants.join(groups, (F.col("n") == F.col("g_n")) & (F.col("hash") == F.col("g_hash")) & (F.col("place") == F.col("g_place")))
     other = (
         F.when(F.col("role") == SUBSTITUTED, F.col(f"first{SUBSTITUTED}"))
         .when(F.col("role") == LONGER, F.col(f"first{SHORTER}"))
