@@ -7,10 +7,11 @@ probability of their weighted similarity. Only darts up to a rank are thrown tha
 one stays empty the rank is doubled. A unit of weight throws its darts one after another, so most shingles of a
 long text throw none.
 
-Texts that agree in a band of coordinates are candidates. Equal texts are one node. In a band's bucket each node is compared
-with the smallest and the largest node and with the smallest of its part of the bucket, never with all. Candidates
-whose signatures agree too little are set aside; for the others the exact similarity is computed from all shingles. Classes
-are the connected components of what remains.
+Texts that agree in a band of coordinates are candidates. Equal texts are one node. In a band's bucket each node is first
+compared with the smallest and the largest node and with the smallest of its part of the bucket. Where that leaves nodes of
+several classes in a bucket, every two of them in different classes are compared, so a pair of a bucket is either
+compared or in one class already. Candidates whose signatures agree too little are set aside; for the others the exact similarity is
+computed from all shingles. Classes are the connected components of what remains.
 
 Nulls and ties: texts without a word, NULL among them, are alike to nothing and are classes of their own; texts of fewer than
 five words count as one shingle; a class is named by its smallest id; rows with the same id are in one class; rows with a
@@ -129,7 +130,7 @@ def signed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def candidates(nodes: DataFrame) -> DataFrame:
-    """(a, b) of nodes that share a band, a > b."""
+    """(a, b) of nodes that share a band with one of its centres, a > b."""
     spread = nodes.select("node", F.explode("bands").alias("band"))
     part = F.pmod(F.xxhash64("node", "band"), F.lit(PARTS)).cast("int")
     parts = spread.groupBy("band", part.alias("part")).agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n"))
@@ -155,6 +156,24 @@ def agreement(left: str, right: str):
     return agree(F.col(left), F.col(right))
 
 
+def crossing(nodes: DataFrame, classes: DataFrame, least: int) -> DataFrame:
+    """(a, b) of all nodes that share a band and are not in one class, a > b, whose sketches agree in ``least`` bytes.
+
+    A bucket whose nodes are all in one class has nothing left to compare and is not spread out.
+    """
+    labelled = nodes.join(classes, F.col("node") == F.col("c_node"), "left").select("node", F.coalesce("class", "node").alias("label"), "bands", "sketch")
+    spread = labelled.select("node", "label", F.explode("bands").alias("band"))
+    open_ = spread.groupBy(F.col("band").alias("o_band")).agg(F.min("label").alias("low"), F.max("label").alias("high")).where(F.col("low") < F.col("high"))
+    left = stored(spread.join(open_, F.col("band") == F.col("o_band")).select("band", "node", "label"))
+    sketches = nodes.select(F.col("node").alias("s_node"), "sketch")
+    rows = left.join(sketches, F.col("node") == F.col("s_node")).select("band", "node", "label", "sketch")
+    others = rows.withColumnsRenamed({"band": "band_b", "node": "b", "label": "label_b", "sketch": "sketch_b"})
+    met = rows.join(
+        others, (F.col("band") == F.col("band_b")) & (F.col("label") != F.col("label_b")) & (F.col("node") > F.col("b"))
+    )
+    return met.where(agreement("sketch", "sketch_b") >= least).select(F.col("node").alias("a"), "b").distinct()
+
+
 def verified(pairs: DataFrame, docs: DataFrame, threshold: float, doc_id: str, text: str) -> DataFrame:
     """The pairs whose weighted similarity reaches the threshold, computed from all shingles of both texts."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("end")).distinct()
@@ -192,7 +211,7 @@ def verified(pairs: DataFrame, docs: DataFrame, threshold: float, doc_id: str, t
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, class_id, n_links) for every row of ``docs``; links are between different texts."""
+    """(doc_id, class_id, n_links) for every row of ``docs``; ``n_links`` counts the other texts of the class."""
     rows = stored(signed(docs, doc_id, text))
     nodes = stored(
         rows.groupBy("key").agg(F.min("node_id").alias("node"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
@@ -206,24 +225,31 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, doc_id: str = "doc_
     # Five standard deviations below the threshold: no pair that reaches it is set aside.
     least = int(SIZE * threshold - 5 * math.sqrt(SIZE * threshold * (1 - threshold)))
     pairs = stored(pairs.where(agreement("sketch_a", "sketch_b") >= least).select("a", "b").distinct())
-    links = stored(verified(pairs, docs, threshold, doc_id, text).distinct())
-    degree = links.select(F.explode(F.array("a", "b")).alias("d_node")).groupBy("d_node").agg(F.count("*").alias("n_links"))
+    links = verified(pairs, docs, threshold, doc_id, text)
     # An id that stands for several texts ties their nodes together.
     named = rows.select("node_id", "key").join(nodes.select(F.col("key").alias("n_key"), "node"), F.col("key") == F.col("n_key"))
     tied = named.where(F.col("node_id") != F.col("node")).join(
         nodes.select(F.col("node").alias("own")).distinct(), F.col("node_id") == F.col("own")
     )
-    edges = links.unionByName(tied.select(F.col("node_id").alias("a"), F.col("node").alias("b")))
+    met = components(links.unionByName(tied.select(F.col("node_id").alias("a"), F.col("node").alias("b"))))
+    met = met.select(F.col("node").alias("c_node"), "class")
+    # What the centres have compared already is not compared again.
+    rest = stored(crossing(nodes, met, least).join(pairs, ["a", "b"], "left_anti"))
+    edges = met.select(F.col("c_node").alias("a"), F.col("class").alias("b")).unionByName(verified(rest, docs, threshold, doc_id, text))
     classes = components(edges).select(F.col("node").alias("c_node"), "class")
+    label = F.coalesce("class", "node")
+    sizes = nodes.join(classes, F.col("node") == F.col("c_node"), "left").groupBy(label.alias("z_class")).agg(F.count("*").alias("n_texts"))
     of_id = (
         named.join(classes, F.col("node") == F.col("c_node"), "left")
-        .join(degree, F.col("node") == F.col("d_node"), "left")
         .groupBy(F.col("node_id").alias("i_id"))
-        .agg(F.min(F.coalesce("class", "node")).alias("class_id"), F.max(F.coalesce("n_links", F.lit(0))).alias("n_links"))
+        .agg(F.min(label).alias("class_id"))
+        .join(sizes.where(F.col("n_texts") > 1), F.col("class_id") == F.col("z_class"), "left")
     )
     ids = docs.select(F.col(doc_id).cast("long").alias(doc_id))
     return ids.join(of_id, F.col(doc_id) == F.col("i_id"), "left").select(
-        F.col(doc_id), F.coalesce("class_id", doc_id).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
+        F.col(doc_id),
+        F.coalesce("class_id", doc_id).alias("class_id"),
+        F.coalesce(F.col("n_texts") - 1, F.lit(0)).cast("long").alias("n_links"),
     )
 
 

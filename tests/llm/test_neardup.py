@@ -50,6 +50,29 @@ def test_classes_against_all_pairs(spark):
     assert {r.doc_id: r.class_id for r in got if r.doc_id is not None} == brute(rows)
 
 
+def family_rows(groups=60, size=3):
+    """One template in versions below the threshold to each other, each version in near copies; ids don't follow versions."""
+    template = prose(700, 200).replace("\n", " ")
+    rows = []
+    for g in range(groups):
+        version = template
+        for k in range(4):
+            version = edited(version, (50 * k + 7 * g) % 200, f"version{g}x{k}")
+        for i in range(size):
+            rows.append((1000 * i + g * 37 % groups, edited(version, (31 * i + g) % 200, f"copy{g}x{i}"), "en", "a", 1))
+    return rows
+
+
+def test_versions_of_a_template_against_all_pairs(spark):
+    rows = family_rows()
+    want = brute(rows)
+    assert 20 < len(set(want.values())) < len(rows) // 2
+    got = neardup.near_duplicates(table(spark, rows)).collect()
+    assert {r.doc_id: r.class_id for r in got} == want
+    members = Counter(want.values())
+    assert {r.doc_id: r.n_links for r in got} == {i: members[c] - 1 for i, c in want.items()}
+
+
 def test_one_of_each_class_stays(spark):
     rows = near_rows()
     docs = table(spark, rows)
