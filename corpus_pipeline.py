@@ -32,9 +32,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that repeat an earlier one; a document goes if none of its longer lines is its own."""
+    """Documents without lines that repeat an earlier one; a document goes if only blank lines are left of it."""
     left = lines.deduplicated(docs, MIN_WORDS)
-    own = (F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_compared"))
+    own = (F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")
     return _counted(left.where(own).select(docs.columns))
 
 

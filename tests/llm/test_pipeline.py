@@ -5,7 +5,7 @@ import __spark_entry__ as entry
 from cabstand.llm import neardup
 from cabstand.llm.queries import QUERIES, SQL
 from check_queries import compare, connect
-from tests.llm.support import odd_rows, table
+from tests.llm.support import odd_rows, prose, table
 from tests.llm.test_lines import brute as lines_left
 from tests.llm.test_neardup import brute as classes
 from tests.llm.test_packing import expected
@@ -35,6 +35,15 @@ def test_stages_on_odd_rows(spark, folder):
     assert pieces == expected([(r[0], r[1]) for r in rows["mix_sources"]], 1024)
 
 
+def test_short_lines_of_its_own_keep_a_document(spark):
+    shared = prose(40, 12)
+    verse = "\n".join(" ".join(f"w{i}x{k}" for k in range(5)) for i in range(60))
+    rows = [(1, shared, "en", "a", len(shared)), (2, f"{verse}\n{shared}", "en", "a", 1), (3, f"{shared}\n \n", "en", "a", 1)]
+    got = {r.doc_id: r for r in STAGES["line_dedup"](spark, table(spark, rows), "").collect()}
+    assert {i: r.text for i, r in got.items()} == {1: shared, 2: verse}
+    assert got[2].n_chars == len(verse)
+
+
 def test_no_near_copies_are_left(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     kept = STAGES["near_dedup"](spark, docs, sf)
