@@ -2,7 +2,8 @@
 
 The edit distance counts words: one inserted, left out or exchanged. Blanks are evened out first. Lines are compared over
 the whole table, in the order of document id and line number, as they stand in the input (a line that goes still counts
-as an earlier one). Lines below ``min_words`` words name nothing in particular and stay.
+as an earlier one). Lines below ``min_words`` words go only if an earlier line equals them, and only those of
+``equal_words`` words or more; without ``equal_words`` they stay.
 
 The join is on deletion neighbourhoods: a line is joined with others through the hashes of all its variants with one word
 left out. Two lines of equal length differ in one place at most if their variants without that place are equal; a line is
@@ -64,10 +65,10 @@ def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.col(doc_id).alias("t_id"), body.alias("t_text"), *row_keys(F.col(doc_id), body))
 
 
-def _lines(texts: DataFrame, min_words: int) -> DataFrame:
+def _lines(texts: DataFrame, least: int) -> DataFrame:
     """One row per line: where it is, two hashes that name it, its length and the four half keys."""
     rows = texts.select("t_id", "k1", "k2", F.posexplode(even_lines(F.col("t_text"))).alias("no", "line"))
-    rows = rows.withColumn("words", F.split("line", " ")).withColumn("n", F.size("words")).where(F.col("n") >= min_words)
+    rows = rows.withColumn("words", F.split("line", " ")).withColumn("n", F.size("words")).where((F.col("n") >= least) & (F.col("line") != ""))
     keys = [key["key"].alias(f"half{i}") for i, key in enumerate(halves(F.col("words"), F.col("n")))]
     return rows.select(*PLACE, F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2"), "n", *keys)
 
@@ -203,10 +204,10 @@ def one_edit(left: Column, right: Column) -> Column:
     return run(left, right) + run(F.reverse(left), F.reverse(right)) >= longest - 1
 
 
-def removed_lines(docs: DataFrame, min_words: int = 8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def removed_lines(docs: DataFrame, min_words: int = 8, doc_id: str = "doc_id", text: str = "text", equal_words: int | None = None) -> DataFrame:
     """(k1, k2, removed): the numbers of the lines that go, for each text that loses any."""
     texts = _texts(docs, doc_id, text)
-    lines = _lines(texts, min_words)
+    lines = _lines(texts, min_words if equal_words is None else equal_words)
     first = lines.groupBy("h1", "h2").agg(
         F.min(F.struct(*PLACE)).alias("line"),
         F.count("*").alias("times"),
@@ -214,7 +215,7 @@ def removed_lines(docs: DataFrame, min_words: int = 8, doc_id: str = "doc_id", t
         *[F.first(f"half{i}").alias(f"half{i}") for i in range(4)],
     )
     first = written(first, "lines")
-    wanted = first.select("h1", "h2", "line.*").join(_needed(first), ["h1", "h2"])
+    wanted = first.select("h1", "h2", "line.*").join(_needed(first.where(F.col("n") >= min_words)), ["h1", "h2"])
     pairs = _witnesses(_variants(wanted, texts))
     pairs = _with_words(_with_words(pairs, texts, "line", "words"), texts, "other", "other_words")
     near = pairs.where(one_edit(F.col("words"), F.col("other_words"))).select("h1", "h2").distinct().withColumn("near", F.lit(True))
@@ -232,11 +233,12 @@ def removed_lines(docs: DataFrame, min_words: int = 8, doc_id: str = "doc_id", t
     return gone.groupBy("k1", "k2").agg(F.array_distinct(F.collect_list("no")).alias("removed"))
 
 
-def deduplicated(docs: DataFrame, min_words: int = 8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the lines that go, with ``n_lines``, ``n_compared`` (lines of ``min_words`` words) and
-    ``n_removed``; these three replace older ones."""
+def deduplicated(docs: DataFrame, min_words: int = 8, doc_id: str = "doc_id", text: str = "text", equal_words: int | None = None) -> DataFrame:
+    """``docs`` without the lines that go, with ``n_lines``, ``n_compared`` (lines of ``min_words`` words, or of
+    ``equal_words`` where given) and ``n_removed``; these three replace older ones."""
+    least = min_words if equal_words is None else equal_words
     names = [name for name in docs.columns if name not in ("n_lines", "n_compared", "n_removed")]
-    gone = removed_lines(docs, min_words, doc_id, text).withColumnsRenamed({"k1": "g1", "k2": "g2"})
+    gone = removed_lines(docs, min_words, doc_id, text, equal_words).withColumnsRenamed({"k1": "g1", "k2": "g2"})
     others = [name for name in names if name not in (doc_id, text)]
     texts = _texts(docs, doc_id, text)
     if others:
@@ -257,7 +259,7 @@ def deduplicated(docs: DataFrame, min_words: int = 8, doc_id: str = "doc_id", te
     return joined.select(
         *[own.get(name, F.col("others").getField(name) if others else None).alias(name) for name in names],
         F.when(F.col("t_text").isNull(), 0).otherwise(F.col("n_parts")).cast("long").alias("n_lines"),
-        F.size(F.filter(even_lines(F.coalesce("t_text", F.lit(""))), lambda line: F.size(F.split(line, " ")) >= min_words))
+        F.size(F.filter(even_lines(F.coalesce("t_text", F.lit(""))), lambda line: (line != "") & (F.size(F.split(line, " ")) >= least)))
         .cast("long")
         .alias("n_compared"),
         F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),

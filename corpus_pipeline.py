@@ -17,7 +17,7 @@ from cabstand.llm import lines, mixing, neardup, packing, rules
 from cabstand.llm.queries import byte_bpe
 from cabstand.session import scratch
 
-MIN_WORDS = 8
+MIN_WORDS, EQUAL_WORDS = 8, 1
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -33,7 +33,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that repeat an earlier one; a document goes if only blank lines are left of it."""
-    left = lines.deduplicated(docs, MIN_WORDS)
+    left = lines.deduplicated(docs, MIN_WORDS, equal_words=EQUAL_WORDS)
     own = (F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")
     return _counted(left.where(own).select(docs.columns))
 

@@ -60,5 +60,13 @@ def test_edits_of_every_kind(spark):
     check(spark, rows)
 
 
+def test_short_lines_go_if_they_repeat(spark):
+    footer = "All rights are reserved by them here"
+    rows = [(i, f"{prose(60 + i, 12)}\n\n{footer}\nits own line {i}\n\nHome", "en", "a", 1) for i in range(3)]
+    got = {r.doc_id: (r.text, r.n_removed) for r in lines.deduplicated(table(spark, rows), equal_words=1).collect()}
+    want = {0: (rows[0][1], 0)} | {i: (f"{prose(60 + i, 12)}\n\nits own line {i}\n", 2) for i in (1, 2)}
+    assert got == want
+
+
 def test_empty(spark):
     assert lines.deduplicated(table(spark, [])).count() == 0
