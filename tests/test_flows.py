@@ -210,6 +210,13 @@ def test_default_grid(spark):
     assert (("maxDepth", 6), ("maxIter", 100), ("minInstancesPerNode", 7)) in tried
 
 
+def test_rows_without_a_feature_are_counted(spark):
+    rows = [(float(i % 7), None if i % 10 == 0 else float(i % 5), None if i == 1 else 3.0 + i % 7) for i in range(60)]
+    table = spark.createDataFrame(rows, "distance double, passengers double, fare_amount double")
+    trained = fare_model.fit_fare_model(table, {"maxDepth": (2,), "maxIter": (1,), "minInstancesPerNode": (1,)}, folds=2)
+    assert trained.n_dropped == 7
+
+
 def test_train_record_pick_and_score(spark, folder):
     changes = [
         month(1 + i % 12, passenger_count=1 + i % 6, trip_distance=1.0 + i % 9, fare_amount=5.0 + 3 * (i % 9), payment_type=1 + i % 6)
