@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabstand.llm import counts, credentials, hnsw, lines, mixing, neardup, packing, passages, rules, suffixes
+from cabstand.llm import contents, counts, credentials, hnsw, lines, mixing, neardup, packing, passages, rules, suffixes
 from cabstand.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -202,6 +202,25 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.search(hnsw.build(vectors), vectors.where(F.col("vec_id") % 20 == 0), k=20)
 
 
+def op13_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of equal texts of every document, and which of them stays."""
+    return contents.exact_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(length(text), 0) AS n,
+    regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS content
+  FROM documents
+),
+ranked AS (
+  SELECT *, first_value(doc_id) OVER best AS keep_id, row_number() OVER best AS place, count(*) OVER (PARTITION BY content) AS size
+  FROM d WINDOW best AS (PARTITION BY content ORDER BY n DESC, doc_id NULLS LAST, r)
+)
+SELECT doc_id, keep_id, CAST(size AS BIGINT) AS group_size, place = 1 AS kept, sha256(content) AS text_sha256 FROM ranked
+"""
+
+
 def byte_bpe() -> tuple[str, str, str]:
     """Rank file, tokenizer file and splitting pattern of the public byte-level vocabulary."""
     import public_tokenizers
@@ -224,5 +243,6 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op8_token_counts,
     op9_line_dedup,
     op10_nearest_neighbours,
+    op13_content_sort,
 )}
-SQL: dict[str, str] = {"op4_mixing_sources": OP4_SQL, "op5_quality_rules": OP5_SQL, "op9_line_dedup": OP9_SQL}
+SQL: dict[str, str] = {"op4_mixing_sources": OP4_SQL, "op5_quality_rules": OP5_SQL, "op9_line_dedup": OP9_SQL, "op13_content_sort": OP13_SQL}
