@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabstand.llm import contents, counts, credentials, hnsw, lines, mixing, neardup, packing, passages, rules, suffixes
+from cabstand.llm import contents, counts, credentials, hnsw, lines, mixing, neardup, packing, passages, periods, rules, suffixes
 from cabstand.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -202,6 +202,35 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.search(hnsw.build(vectors), vectors.where(F.col("vec_id") % 20 == 0), k=20)
 
 
+def _wound_up(doc_id: Column, text: Column) -> Column:
+    """The text, for a tenth of the ids (by checksum) with its last words replaced by repeats of some of them."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    n = F.size(words)
+    a = (g % n).cast("int")
+    p = (F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))).cast("int")
+    tail = F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.floor((n - a) / p).cast("int") + 1))
+    return F.when((h % 10 == 0) & (n > 0), F.array_join(F.concat(F.slice(words, F.lit(1), a), F.slice(tail, F.lit(1), n - a)), " ")).otherwise(text)
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of every document, the greatest of them, and digests of all and of the text without repeats."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", _wound_up(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periods.periodic_runs(docs)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r[k].cast("string") for k in ("start", "length", "period")]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "greatest.start",
+        "greatest.length",
+        "greatest.period",
+        F.expr("1000 * greatest.length div greatest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group of equal texts of every document, and which of them stays."""
     return contents.exact_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -243,6 +272,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op8_token_counts,
     op9_line_dedup,
     op10_nearest_neighbours,
+    op11_periodic_runs,
     op13_content_sort,
 )}
 SQL: dict[str, str] = {"op4_mixing_sources": OP4_SQL, "op5_quality_rules": OP5_SQL, "op9_line_dedup": OP9_SQL, "op13_content_sort": OP13_SQL}
