@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabstand.llm import contents, counts, credentials, hnsw, lines, mixing, neardup, packing, passages, periods, rules, suffixes
+from cabstand.llm import contents, counts, credentials, divergence, hnsw, lines, mixing, neardup, packing, passages, periods, rules, suffixes
 from cabstand.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -231,6 +231,49 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every source of a language the other ones by distance, and the 50 words that mark it most."""
+    return divergence.audit(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents
+),
+words AS (SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+langs AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+shares AS (
+  SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 5)) // (total + 5 * v) AS q FROM kept JOIN langs USING (lang)
+),
+present AS (SELECT DISTINCT lang, source FROM d),
+counts AS (SELECT w.lang, w.source, w.term, count(*) AS n FROM words w JOIN kept USING (lang, term) GROUP BY 1, 2, 3),
+sums AS (SELECT p.lang, p.source, coalesce(sum(n), 0) AS total FROM present p LEFT JOIN counts USING (lang, source) GROUP BY 1, 2),
+own AS (
+  SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (s.total + 5 * l.v) AS p
+  FROM sums s JOIN kept k ON s.lang = k.lang JOIN langs l ON s.lang = l.lang
+  LEFT JOIN counts c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term
+),
+apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM own a JOIN own b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3
+),
+results AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM present a JOIN present b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+  UNION ALL
+  SELECT o.lang, o.source, 'term', o.term, p - q FROM own o JOIN shares s ON o.lang = s.lang AND o.term = s.term WHERE o.n > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+  CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM results QUALIFY part = 'pair' OR rank <= 50
+"""
+
+
 def op13_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group of equal texts of every document, and which of them stays."""
     return contents.exact_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -273,6 +316,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op9_line_dedup,
     op10_nearest_neighbours,
     op11_periodic_runs,
+    op12_source_divergence,
     op13_content_sort,
 )}
-SQL: dict[str, str] = {"op4_mixing_sources": OP4_SQL, "op5_quality_rules": OP5_SQL, "op9_line_dedup": OP9_SQL, "op13_content_sort": OP13_SQL}
+SQL: dict[str, str] = {"op4_mixing_sources": OP4_SQL, "op5_quality_rules": OP5_SQL, "op9_line_dedup": OP9_SQL, "op12_source_divergence": OP12_SQL, "op13_content_sort": OP13_SQL}
