@@ -210,6 +210,39 @@ def test_default_grid(spark):
     assert (("maxDepth", 6), ("maxIter", 100), ("minInstancesPerNode", 7)) in tried
 
 
+def test_staged_errors_equal_separate_fits(spark):
+    """One long fit per fold gives what a fit for each number of trees gives."""
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.tuning import CrossValidator
+
+    rows = [(float(i % 13), float(i * 7 % 11), 3.0 + i % 13 + (i * 7 % 11) * (i % 3), i % 3) for i in range(300)]
+    table = spark.createDataFrame(rows, "distance double, passengers double, fare_amount double, fold int")
+    grid = {"maxDepth": (2, 3), "maxIter": (2, 5, 9), "minInstancesPerNode": (3, 30)}
+    pipeline = fare_model.estimator(["distance", "passengers"])
+    separate = CrossValidator(
+        estimator=pipeline, estimatorParamMaps=fare_model.param_grid(pipeline, grid), numFolds=3, foldCol="fold", parallelism=4,
+        evaluator=RegressionEvaluator(labelCol="fare_amount", metricName="mse"),
+    ).fit(table)
+    wanted = {
+        tuple(sorted((p.name, v) for p, v in setting.items())): error
+        for setting, error in zip(separate.getEstimatorParamMaps(), separate.avgMetrics)
+    }
+    folds = fare_model.stored_folds(table, pipeline.getStages()[0], "fare_amount")
+    staged = fare_model.staged_search(folds, grid)
+    assert len(staged) == len(wanted) == 12 and len({round(s.error, 6) for s in staged}) > 4
+    for setting in staged:
+        assert setting.error == pytest.approx(wanted[tuple(sorted(setting.params.items()))], rel=1e-9)
+
+
+def test_empty_folds_are_left_out(spark):
+    table = spark.createDataFrame([(float(i), float(i), i % 2) for i in range(40)], "x double, fare_amount double, fold int")
+    grid = {"maxDepth": (2,), "maxIter": (1, 2)}
+    folds = lambda rows: fare_model.stored_folds(rows, fare_model.estimator(["x"]).getStages()[0], "fare_amount")
+    assert len(fare_model.staged_search(folds(table), grid)) == 2
+    with pytest.raises(ValueError):
+        fare_model.staged_search(folds(table.where("fold = 0")), grid)
+
+
 def test_rows_without_a_feature_are_counted(spark):
     rows = [(float(i % 7), None if i % 10 == 0 else float(i % 5), None if i == 1 else 3.0 + i % 7) for i in range(60)]
     table = spark.createDataFrame(rows, "distance double, passengers double, fare_amount double")
