@@ -10,16 +10,18 @@ from cabstand import quality
 from cabstand.functions import clock
 from cabstand.operators import columns, filters, routing, summary
 from cabstand.quality.rules import Suite
-from cabstand.sources import files as file_sources, tables
+from cabstand.sources import files as file_sources, snapshots, tables
 from cabstand.specs import DatasetSpec
 
 
 @dataclass(frozen=True)
 class Outputs:
-    """Table folders of a pipeline."""
+    """Table folders of a pipeline. With ``snapshots`` every load becomes visible in one step
+    (:mod:`cabstand.sources.snapshots`); otherwise months are overwritten in place."""
 
     summary: str
     trips: str
+    snapshots: bool = False
 
 
 @dataclass(frozen=True)
@@ -81,14 +83,16 @@ def run_month(
     rows = month_input(file_sources.read_parquet(spark, source), spec, month)
     month_folder = f"{clock.month_bounds(month)[0]:%Y%m}"
     table = summary.monthly_summary(rows, spec, busiest_scope)
-    wrote_summary = tables.overwrite_months(
-        table, out.summary, "first_day_of_month", spec.cluster_summary, f"summary-{month_folder}"
-    )
-    tables.drop_stale(spark, out.summary, wrote_summary, [month_folder])
+    summary_sink = (out.summary, "first_day_of_month", spec.cluster_summary, f"summary-{month_folder}")
     marked = routing.with_route(rows, spec.rules(as_of), null_policy)
-    wrote_trips = tables.overwrite_months(
-        marked, out.trips, spec.start, spec.cluster_rows, f"trips-{month_folder}", (routing.ROUTE,)
-    )
+    trips_sink = (out.trips, spec.start, spec.cluster_rows, f"trips-{month_folder}", (routing.ROUTE,))
+    if out.snapshots:
+        wrote_summary = snapshots.replace_months(table, *summary_sink, months=[month_folder])
+        wrote_trips = snapshots.replace_months(marked, *trips_sink, months=[month_folder])
+        return LoadReport(wrote_summary.rows, wrote_trips.rows)
+    wrote_summary = tables.overwrite_months(table, *summary_sink)
+    tables.drop_stale(spark, out.summary, wrote_summary, [month_folder])
+    wrote_trips = tables.overwrite_months(marked, *trips_sink)
     tables.drop_stale(spark, out.trips, wrote_trips, [month_folder], routing.ROUTE)
     return LoadReport(wrote_summary.rows, wrote_trips.rows)
 
@@ -117,9 +121,8 @@ def run_full(
     if suite is not None:
         validate(rows, suite, threshold, as_of, results_path)
     table = summary.monthly_summary(rows, spec, busiest_scope)
-    wrote_summary = tables.replace_table(
-        table, out.summary, "first_day_of_month", spec.cluster_summary, f"summary-{spec.name}-full"
-    )
+    summary_sink = (out.summary, "first_day_of_month", spec.cluster_summary, f"summary-{spec.name}-full")
+    wrote_summary = snapshots.replace_all(table, *summary_sink) if out.snapshots else tables.replace_table(table, *summary_sink)
 
     def recent_files(df: DataFrame) -> DataFrame:
         return filters.in_recent_months(df, spec.start, spec.recent_months, as_of) if _has_times(df, spec.start) else df
@@ -127,19 +130,28 @@ def run_full(
     recent = file_sources.read_groups(spark, groups, spec.columns, keep=recent_files)
     recent = filters.in_recent_months(recent, spec.start, spec.recent_months, as_of)
     marked = routing.with_route(recent, spec.rules(as_of), null_policy)
-    wrote_trips = tables.replace_table(
-        marked, out.trips, spec.start, spec.cluster_rows, f"trips-{spec.name}-full", routing.ROUTE
-    )
+    trips_sink = (out.trips, spec.start, spec.cluster_rows, f"trips-{spec.name}-full")
+    if out.snapshots:
+        wrote_trips = snapshots.replace_all(marked, *trips_sink, (routing.ROUTE,))
+    else:
+        wrote_trips = tables.replace_table(marked, *trips_sink, routing.ROUTE)
     return LoadReport(wrote_summary.rows, wrote_trips.rows)
 
 
+def read_table(spark: SparkSession, path: str, *window) -> DataFrame:
+    """A table of either kind, optionally ``(date column, start, end)``."""
+    read = snapshots.read if snapshots.is_versioned(spark, path) else tables.read_months
+    return read(spark, path, *window)
+
+
 def trips(spark: SparkSession, path: str, spec: DatasetSpec, route: str = routing.CLEAN) -> DataFrame:
     """Clean (or triage) rows of the trip table with the declared columns and the month id."""
-    rows = tables.read_months(spark, path).where(F.col(routing.ROUTE) == route)
+    rows = read_table(spark, path).where(F.col(routing.ROUTE) == route)
     extra = [routing.REASONS] if route == routing.TRIAGE else []
     return rows.select(*spec.columns, *extra, tables.PART)
 
 
 def retain(spark: SparkSession, path: str, spec: DatasetSpec, as_of: clock.Moment | None = None) -> list[str]:
     """Drop months older than the dataset's retention."""
-    return tables.expire(spark, path, as_of, spec.retention_days)
+    drop = snapshots.expire if snapshots.is_versioned(spark, path) else tables.expire
+    return drop(spark, path, as_of, spec.retention_days)

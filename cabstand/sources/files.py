@@ -14,11 +14,12 @@ from cabstand.operators.joins import concat, existing, missing
 FOOTER_SCHEMA = "link string, pos int, column string, type string"
 
 
-def read_parquet(spark: SparkSession, files: Sequence[str]) -> DataFrame:
-    """Files of one schema as one frame."""
+def read_parquet(spark: SparkSession, files: Sequence[str], base: str | None = None) -> DataFrame:
+    """Files of one schema as one frame. Folder names below ``base`` become columns."""
     if isinstance(files, str) or not files:
         raise ValueError("give a non-empty list of paths")
-    return spark.read.parquet(*files)
+    reader = spark.read.option("basePath", base) if base else spark.read
+    return reader.parquet(*files)
 
 
 def manifest(spark: SparkSession, folder: str, pattern: str = "*.parquet", prefix: str = "") -> DataFrame:

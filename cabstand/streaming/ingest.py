@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Mapping
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -16,18 +17,29 @@ from pyspark.sql.streaming import StreamingQuery
 from cabstand.functions import clock
 from cabstand.functions.messages import decode_messages, to_message
 from cabstand.operators import routing
+from cabstand.sources import snapshots
 from cabstand.sources.tables import NO_MONTH, PART
 from cabstand.specs import DatasetSpec
 
 DEAD = "dead"
 
 
+#: Where a message lies in its topic, as the connector's columns name it.
+POSITION = ("topic", "partition", "offset")
+
+
 def topic_stream(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
-    """Messages of a Kafka topic as ``value`` text. Needs the Kafka connector on the class path."""
+    """Messages of a Kafka topic as ``value`` text with their positions. Needs the Kafka connector on the class path."""
     reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
     for key, value in options.items():
         reader = reader.option(key.replace("__", "."), value)
-    return reader.load().select(F.col("value").cast("string").alias("value"))
+    return positioned(reader.load())
+
+
+def positioned(records: DataFrame) -> DataFrame:
+    """``value`` as text and the position, from records in the connector's columns, wherever they come from."""
+    kinds = dict(zip(POSITION, ("string", "int", "long")))
+    return records.select(F.col("value").cast("string").alias("value"), *[F.col(name).cast(kind).alias(name) for name, kind in kinds.items()])
 
 
 def file_stream(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
@@ -110,6 +122,89 @@ def start_ingest(
     return writer.start()
 
 
+def position_key(topic: str, partition: int) -> str:
+    return f"position:{topic}:{partition}"
+
+
+def unseen(batch: DataFrame, marks: Mapping[str, int]) -> tuple[DataFrame, dict[str, int]]:
+    """Messages from the marked positions on, and the positions after this batch: one per topic partition."""
+    ends = batch.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next")).collect()
+    known = [(row["topic"], row["partition"], marks.get(position_key(row["topic"], row["partition"]), 0)) for row in ends]
+    after = {position_key(t, p): max(at, row["next"]) for (t, p, at), row in zip(known, ends)}
+    if not any(at for _, _, at in known):
+        return batch, after
+    ledger = batch.sparkSession.createDataFrame(known, "topic string, partition int, first long")
+    # One row per partition of a topic, whatever the batch holds.
+    return batch.join(F.broadcast(ledger), ["topic", "partition"]).where(F.col("offset") >= F.col("first")).drop("first"), after
+
+
+def start_snapshot_ingest(
+    messages: DataFrame,
+    spec: DatasetSpec,
+    table: str,
+    checkpoint: str,
+    as_of: clock.Moment | None = None,
+    unknown_fields: str = "reject",
+    once: bool = False,
+    every: str = "1 minute",
+    name: str | None = None,
+    merge_at: int | None = None,
+) -> StreamingQuery:
+    """The ingest into a table of :mod:`cabstand.sources.snapshots`.
+
+    A batch becomes visible in one step, together with what keeps it from being taken twice. For messages with
+    a position (topic, partition, offset) that is the next position of each partition: rows below it are left out,
+    so even a stream that has lost its checkpoint and reads the topic from the start repeats nothing.
+    For others it is the number of the batch under the id of the stream, which a lost checkpoint loses too.
+
+    ``merge_at`` bounds the small files: a month that lies in so many folders is merged after the batch. Any other job may
+    call :func:`merge_table` while the stream runs.
+    """
+    placed = set(POSITION) <= set(messages.columns)
+
+    def append(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        stream = f"batch:{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}"
+        for _ in range(snapshots.ATTEMPTS):
+            state = snapshots.present(spark, table)
+            fresh, marks = unseen(batch, state.marks) if placed else (batch, {stream: number})
+            if all(state.marks.get(key, -1) >= at for key, at in marks.items()):
+                return
+            rows = routed(fresh.select("value"), spec, as_of, unknown_fields).drop(PART)
+            _, months, schema = snapshots.stage(rows, table, spec.start, (), f"stream-{spec.name}", (routing.ROUTE,))
+
+            def change(now: snapshots.Snapshot) -> snapshots.Snapshot | None:
+                if any(now.marks.get(key) != state.marks.get(key) for key in marks):
+                    return None
+                return replace(now.appended(months), schema=schema, marks={**now.marks, **marks})
+
+            done = snapshots.switch(spark, table, change)
+            if all(done.marks.get(key) == at for key, at in marks.items()):
+                break
+        else:
+            raise snapshots.Conflict(f"{table}: other streams kept moving the same positions")
+        if merge_at:
+            merge_table(spark, spec, table, merge_at)
+
+    writer = messages.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
+    if name:
+        writer = writer.queryName(name)
+    writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)
+    return writer.start()
+
+
+def merge_table(spark: SparkSession, spec: DatasetSpec, table: str, least: int = 2) -> dict[str, int]:
+    """Merge the folders of crowded months, clustered like those of the batch load; the stream may go on meanwhile."""
+    return snapshots.merge(spark, table, spec.start, spec.cluster_rows, (routing.ROUTE,), least)
+
+
+def positions(spark: SparkSession, table: str) -> DataFrame:
+    """The next position of every topic partition: ``topic, partition, next``."""
+    marks = {key: at for key, at in snapshots.present(spark, table).marks.items() if key.startswith("position:")}
+    rows = [(*key.removeprefix("position:").rsplit(":", 1), at) for key, at in marks.items()]
+    return spark.createDataFrame([(topic, int(part), at) for topic, part, at in rows], "topic string, partition int, next long")
+
+
 def read_route(spark: SparkSession, table: str, route: str) -> DataFrame:
     """Rows of one route; the other routes' folders are not opened."""
     rows = spark.read.parquet(table).where(F.col(routing.ROUTE) == route).drop(BATCH)
