@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cabstand.operators.columns import cast_columns
@@ -95,6 +97,36 @@ zones AS (
   FROM nation JOIN region ON n_regionkey = r_regionkey
 )"""
 
+def column_facts(columns: Mapping[str, str], ranged: Mapping[str, int] | None = None) -> dict[str, str]:
+    """Expressions over every column that Spark and SQL read alike: how many values, and their sum (exact, in hundredths) or range.
+
+    ``ranged`` names numbers that are not whole hundredths: their range is given, to so many digits.
+    """
+    ranged = ranged or {}
+    facts = {"rows": "count(*)"}
+    for name, kind in columns.items():
+        facts[f"n_{name}"] = f"count({name})"
+        if name in ranged:
+            facts |= {f"low_{name}": f"round(min({name}), {ranged[name]})", f"high_{name}": f"round(max({name}), {ranged[name]})"}
+        elif kind in ("int", "bigint"):
+            facts[f"sum_{name}"] = f"CAST(sum({name}) AS BIGINT)"
+        elif kind == "double":
+            facts[f"sum_{name}"] = f"CAST(sum(CAST(round({name} * 100) AS BIGINT)) AS BIGINT)"
+        else:
+            facts |= {f"low_{name}": f"min({name})", f"high_{name}": f"max({name})"}
+    return facts
+
+
+def facts_by(df: DataFrame, keys: Sequence[str], facts: Mapping[str, str]) -> DataFrame:
+    return df.groupBy(*keys).agg(*[F.expr(text).alias(name) for name, text in facts.items()])
+
+
+def facts_sql(facts: Mapping[str, str]) -> str:
+    return ", ".join(f"{text} AS {name}" for name, text in facts.items())
+
+
+TRIP_FACTS = column_facts(TRIP_COLUMNS)
+
 RULES_SQL = f"""(tpep_pickup_datetime < tpep_dropoff_datetime
   AND passenger_count BETWEEN 1 AND 8 AND VendorID BETWEEN 1 AND 3
   AND RatecodeID BETWEEN 1 AND 7 AND payment_type BETWEEN 1 AND 7

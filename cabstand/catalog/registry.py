@@ -11,7 +11,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
-_MODULES = ("scans", "rows", "rollups", "scalars", "checks", "flows")
+_MODULES = ("scans", "rows", "rollups", "scalars", "checks", "flows", "lifecycle")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:

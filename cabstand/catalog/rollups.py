@@ -48,7 +48,7 @@ WITH {TRIPS_SQL}, keyed AS (
   GROUP BY ALL
 )"""
 
-_GROUP_HOUR = SUMMARY_SQL.replace("BUSIEST", "CAST(any_value(hours.h) AS INTEGER) AS busiest_hour_of_day").replace(
+GROUP_HOUR_SQL = SUMMARY_SQL.replace("BUSIEST", "CAST(any_value(hours.h) AS INTEGER) AS busiest_hour_of_day").replace(
     "JOINED",
     """JOIN hours ON hours.place = 1 AND k.VendorID IS NOT DISTINCT FROM hours.VendorID
     AND k.payment_type IS NOT DISTINCT FROM hours.payment_type AND k.store_and_fwd_flag IS NOT DISTINCT FROM hours.store_and_fwd_flag
@@ -60,7 +60,7 @@ _ONE_HOUR = SUMMARY_SQL.replace(
     "(SELECT CAST(h AS INTEGER) FROM keyed GROUP BY h ORDER BY count(*) DESC, h LIMIT 1) AS busiest_hour_of_day",
 ).replace("JOINED", "")
 
-_SUMMARY_COLUMNS = (
+SUMMARY_COLUMNS_SQL = (
     "VendorID, payment_type, store_and_fwd_flag, pickup_zone, dropoff_zone, first_day_of_month, "
     + ", ".join(f"round({name}, 2) AS {name}" for name in MONEY)
     + ", round(average_passenger_count, 6) AS average_passenger_count, round(average_trip_distance, 6) AS average_trip_distance"
@@ -69,7 +69,7 @@ _SUMMARY_COLUMNS = (
 )
 
 REPORT_SQL = f"""
-{_GROUP_HOUR}, shifted AS (
+{GROUP_HOUR_SQL}, shifted AS (
   SELECT * REPLACE (CAST(first_day_of_month + INTERVAL 12 YEAR AS DATE) AS first_day_of_month) FROM summary
 ), {ZONES_SQL}, report AS (
   SELECT CASE WHEN VendorID = 1 THEN 'Creative Mobile Technologies, LLC' WHEN VendorID = 2 THEN 'VeriFone Inc.' ELSE 'Other' END AS vendors,
@@ -98,13 +98,13 @@ def monthly_report(spark, sf):
     return report.monthly_report(shifted_summary(spark, sf), zones(spark, sf), as_of="2011-12-31")
 
 
-@query("d1_d7_monthly_summary", f"{_GROUP_HOUR} SELECT {_SUMMARY_COLUMNS} FROM summary")
+@query("d1_d7_monthly_summary", f"{GROUP_HOUR_SQL} SELECT {SUMMARY_COLUMNS_SQL} FROM summary")
 def d1(spark, sf):
     """Six keys, nine sums, two averages, count, durations, busiest hour of each group: two shuffles, per key and hour, then per key."""
     return rounded(summary.monthly_summary(trips(spark, sf), YELLOW))
 
 
-@query("d5_d7_summary_one_busiest_hour", f"{_ONE_HOUR} SELECT {_SUMMARY_COLUMNS} FROM summary")
+@query("d5_d7_summary_one_busiest_hour", f"{_ONE_HOUR} SELECT {SUMMARY_COLUMNS_SQL} FROM summary")
 def d7(spark, sf):
     return rounded(summary.monthly_summary(trips(spark, sf), YELLOW, busiest_scope="global"))
 

@@ -162,9 +162,8 @@ def h20(spark, sf):
     )
 
 
-@query(
-    "m5_k1_fare_features",
-    f"""WITH {TRIPS_SQL}, {ZONES_SQL}
+#: All features of all trips between known places.
+FEATURES_SQL = f"""WITH {TRIPS_SQL}, {ZONES_SQL}, features_raw AS (
         SELECT passenger_count, trip_distance, fare_amount,
                round(z1.longitude, 6) AS pickup_long, round(z1.latitude, 6) AS pickup_lat,
                round(z2.longitude, 6) AS dropoff_long, round(z2.latitude, 6) AS dropoff_lat,
@@ -177,8 +176,10 @@ def h20(spark, sf):
                    f"round({distance_sql(str(lon), str(lat), f'{z}.longitude', f'{z}.latitude', 6371010.0)}, 3) AS {end}_{code}_distance"
                    for code, (lon, lat) in geo.AIRPORTS.items() for z, end in (('z1', 'pickup'), ('z2', 'dropoff')))}
         FROM trips LEFT JOIN zones z1 ON PULocationID = z1.LocationID LEFT JOIN zones z2 ON DOLocationID = z2.LocationID
-        WHERE z1.LocationID IS NOT NULL AND z2.LocationID IS NOT NULL AND CAST(tpep_pickup_datetime AS DATE) >= DATE '1998-01-15'""",
-)
+        WHERE z1.LocationID IS NOT NULL AND z2.LocationID IS NOT NULL)"""
+
+
+@query("m5_k1_fare_features", f"""{FEATURES_SQL} SELECT * FROM features_raw WHERE "date" >= DATE '1998-01-15'""")
 def m5(spark, sf):
     """All features of the trips from one day on."""
     rows = features.fare_features(trips(spark, sf), zones(spark, sf), since="1998-01-15")

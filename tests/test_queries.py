@@ -10,7 +10,6 @@ from tests.support import plan_of
 # No Python per row, no pairing of everything with everything, no window in one task.
 BANNED = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas")
 SQL = catalog.oracle_sql()
-SLOW = {"l2_l7_m7_k3_train_and_score", "l5_trials"}  # covered by the model test
 
 
 @pytest.fixture(scope="module")
@@ -18,7 +17,7 @@ def connection(sf):
     return connect(sf)
 
 
-@pytest.mark.parametrize("name", sorted(set(catalog.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query(spark, sf, connection, name):
     frame = catalog.queries()[name](spark, sf)
     plan = plan_of(frame)
