@@ -35,7 +35,7 @@ from cabstand.llm.common import utf8, written
 LEAST_DOCS, TOP = 30, 50
 BLOCK, CHUNK, BESIDE = 256, 64, 50_000
 #: Entries that a task counts before it passes them on.
-MEMORY = 300_000
+MEMORY = 700_000
 
 _LETTERS = bytes(b if b >= 0x80 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
 
