@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 from cabstand import quality
 from cabstand.catalog.bindings import AS_OF, TRIPS_SQL, ZONES_SQL, table, trips, zones
 from cabstand.catalog.registry import query
+from cabstand.catalog.scalars import FEATURES_SQL
 from cabstand.operators import joins
+from cabstand.plans import features
 from cabstand.plans.load import validate
 from cabstand.quality import run, suites
 from cabstand.quality.rules import Rule, Suite, suite_from_json
 from cabstand.session import scratch
+from cabstand.sources import tables
 
 _RESULT = ("rule_id", "total", "failing", "observed", "success", "severity")
 
@@ -284,3 +287,34 @@ def severity(spark, sf):
         F.count_if(F.col("l_discount") > 0.05).alias("n")
     )
     return counted.select("part", run.severity(F.col("n"), _TABLES).alias("severity"))
+
+
+_FEATURE_CHECKS = FEATURES_SQL[FEATURES_SQL.index("WITH ") + 5 :] + ", features AS (SELECT * FROM features_raw)"
+
+
+@query(
+    "m5_i10_i13_feature_suite",
+    _union(
+        [
+            *[_fixed_sql(f"column_exists:{name}", True) for name in suites.FEATURE_TYPES],
+            *[_fixed_sql(f"column_type:{name}", name != "trip_duration") for name in suites.FEATURE_TYPES],
+            *[_null_sql(name if name != "date" else '"date"', "features").replace('not_null:"date"', "not_null:date") for name in suites.FEATURE_TYPES],
+            _between_sql("passenger_count", 1, 7, "features"),
+            _between_sql("fare_amount", 2.5, 250, "features"),
+            _between_sql("day_of_month", 1, 31, "features"),
+            _between_sql("month", 1, 12, "features"),
+            _between_sql("year", 2010, 2023, "features"),
+            _between_sql("day_of_week", 1, 7, "features"),
+            _between_sql("hour_of_day", 0, 23.999, "features"),
+            _sigma_sql("trip_distance", 4, "features"),
+            _sigma_sql("fare_amount", 4, "features"),
+            _share_sql("trip_distance", 0.3, 1, "features"),
+        ],
+        _FEATURE_CHECKS,
+    ),
+)
+def feature_suite(spark, sf):
+    """The whole feature suite over the stored features of all trips."""
+    folder = scratch(spark, "features")
+    features.build_features(spark, trips(spark, sf), zones(spark, sf), folder)
+    return shown(quality.evaluate(tables.read_months(spark, folder), suites.FEATURES, AS_OF))

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cabstand.catalog.bindings import AS_OF, RULES_SQL, TRIP_FACTS, TRIPS_SQL, facts_by, facts_sql, raw_trips, trips
+from cabstand.catalog.bindings import AS_OF, RULES_SQL, TRIP_FACTS, TRIPS_SQL, facts_by, facts_sql, raw_trips, table, trips, zones
 from cabstand.catalog.registry import query
 from cabstand.functions.messages import to_message
-from cabstand.plans import load
+from cabstand.operators import routing, summary
+from cabstand.plans import features, load
 from cabstand.session import scratch
-from cabstand.sources import files, snapshots
-from cabstand.specs import YELLOW
+from cabstand.sources import costs, files, snapshots, tables
+from cabstand.specs import ROUTE_COMMENTS, SUMMARY_COMMENTS, TRIP_COMMENTS, YELLOW
 from cabstand.streaming import ingest
 
 _ROUTED = f"""SELECT *, CASE WHEN {RULES_SQL} THEN 'clean' ELSE 'triage' END AS route,
@@ -83,3 +84,93 @@ def a15_positions(spark, sf):
     known = ingest.positions(spark, f"{folder}/trips").join(ends, ["topic", "partition"]).where(F.col("next") == F.col("last") + 1)
     of_known = spark.read.parquet(f"{folder}/topic").join(known, ["topic", "partition"]).count()
     return _by_route(snapshots.read(spark, f"{folder}/trips")).withColumn("messages_at_known_positions", F.lit(of_known).cast("long"))
+
+
+#: Keys of the co-located layout: all keys of the summary, under its names.
+_CO_KEYS = ("VendorID", "payment_type", "store_and_fwd_flag", "pickup_zone", "dropoff_zone", "first_day_of_month")
+
+
+def co_located(spark, sf, buckets: int = 8):
+    """Trips and their monthly summary, bucketed alike."""
+    folder = scratch(spark, "bucketed")
+    name = "cabstand_" + folder.rsplit("-", 1)[-1]
+    rows = trips(spark, sf)
+    month = F.trunc("tpep_pickup_datetime", "month").alias("first_day_of_month")
+    keyed = rows.select("VendorID", "payment_type", "store_and_fwd_flag", F.col("PULocationID").alias("pickup_zone"),
+                        F.col("DOLocationID").alias("dropoff_zone"), month, "fare_amount")
+    monthly = summary.monthly_summary(rows, YELLOW).select(*_CO_KEYS, "trip_count", "monthly_fare_amount")
+    left = tables.bucketed(keyed, f"{name}_trips", f"{folder}/trips", _CO_KEYS, buckets)
+    right = tables.bucketed(monthly, f"{name}_summary", f"{folder}/summary", _CO_KEYS, buckets)
+    return left, right
+
+
+@query(
+    "a11_bucketed_join",
+    f"""WITH {TRIPS_SQL}, keyed AS (
+          SELECT VendorID, payment_type, store_and_fwd_flag, PULocationID AS pickup_zone, DOLocationID AS dropoff_zone,
+                 CAST(date_trunc('month', tpep_pickup_datetime) AS DATE) AS first_day_of_month, fare_amount FROM trips),
+        monthly AS (SELECT {", ".join(_CO_KEYS)}, count(*) AS n, sum(fare_amount) AS s FROM keyed GROUP BY ALL)
+        SELECT {", ".join(_CO_KEYS)}, n AS trip_count, count(*) FILTER (fare_amount * n > s + 0.005) AS dearer_than_average
+        FROM keyed JOIN monthly USING ({", ".join(_CO_KEYS)}) GROUP BY ALL""",
+)
+def a11_bucketed(spark, sf):
+    """Trips that cost more than the mean of their group, from two tables with one layout: the join and the count shuffle nothing."""
+    rows, monthly = co_located(spark, sf)
+    dearer = F.col("fare_amount") * F.col("trip_count") > F.col("monthly_fare_amount") + 0.005
+    return rows.join(monthly, list(_CO_KEYS)).groupBy(*_CO_KEYS, "trip_count").agg(F.count_if(dearer).alias("dearer_than_average"))
+
+
+@query(
+    "a12_cost_by_label",
+    """SELECT 'orders-load' AS label, count(*) AS rows_written, true AS took_time, true AS wrote_bytes FROM orders
+       UNION ALL SELECT 'events-load', count(*), true, true FROM events""",
+)
+def a12_costs(spark, sf):
+    """Two labelled loads; their figures are kept by run and read back."""
+    folder = scratch(spark, "costs")
+    tables.overwrite_months(table(spark, sf, "orders"), f"{folder}/orders", "o_orderdate", label="orders-load")
+    tables.overwrite_months(table(spark, sf, "events"), f"{folder}/events", "ts", label="events-load")
+    costs.save_costs(costs.costs(spark, "orders-load", "events-load"), f"{folder}/costs", "run-1")
+    kept = spark.read.parquet(f"{folder}/costs")
+    took, wrote = (F.col(name) > 0 for name in ("cpu_ms", "bytes_written"))
+    return kept.select("label", "rows_written", took.alias("took_time"), wrote.alias("wrote_bytes"))
+
+
+def _described_sql(name: str, texts, rows: str) -> str:
+    values = ", ".join("('{}', '{}')".format(c, t.replace("'", "''")) for c, t in texts.items())
+    return f"""SELECT '{name}' AS "table", c AS "column", t AS comment, ({rows}) AS rows FROM (VALUES {values}) AS v(c, t)"""
+
+
+_MONTH_SQL = "tpep_pickup_datetime >= TIMESTAMP '2000-02-01' AND tpep_pickup_datetime < TIMESTAMP '2000-03-01'"
+
+
+@query(
+    "a28_a21_described_tables",
+    f"WITH {TRIPS_SQL}, month AS (SELECT * FROM trips WHERE {_MONTH_SQL}) "
+    + " UNION ALL ".join(
+        [
+            _described_sql("trips", {**TRIP_COMMENTS, **ROUTE_COMMENTS}, "SELECT count(*) FROM month"),
+            _described_sql(
+                "summary", SUMMARY_COMMENTS,
+                "SELECT count(*) FROM (SELECT DISTINCT VendorID, payment_type, store_and_fwd_flag, PULocationID, DOLocationID FROM month)",
+            ),
+            _described_sql("features", features.FEATURE_COMMENTS, "SELECT count(*) FROM month WHERE PULocationID BETWEEN 1 AND 25 AND DOLocationID BETWEEN 1 AND 25"),
+        ]
+    ),
+)
+def a28_described(spark, sf):
+    """The descriptions that the loads store with their tables, read back from the files of a month."""
+    folder = scratch(spark, "described")
+    out = load.Outputs(f"{folder}/summary", f"{folder}/trips")
+    raw_trips(spark, sf).write.parquet(f"{folder}/raw")
+    load.run_month(spark, YELLOW, [f"{folder}/raw"], "2000-02-01", out, AS_OF)
+    stored = tables.read_months(spark, out.trips).select(*YELLOW.columns)
+    features.build_features(spark, stored, zones(spark, sf), f"{folder}/features")
+    parts = []
+    for name, path in (("trips", out.trips), ("summary", out.summary), ("features", f"{folder}/features")):
+        rows = spark.read.parquet(path)
+        texts = tables.descriptions(rows).where(~F.col("column").isin(tables.PART, routing.ROUTE))
+        if name == "trips":
+            texts = texts.unionByName(spark.createDataFrame([(routing.ROUTE, ROUTE_COMMENTS[routing.ROUTE])], texts.schema))
+        parts.append(texts.select(F.lit(name).alias("table"), "column", "comment", F.lit(rows.count()).alias("rows")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from cabstand.functions import clock, geo
 from cabstand.operators import filters, joins
 from cabstand.sources import storage, tables
+from cabstand.specs import TRIP_COMMENTS
 
 FEATURE_COLUMNS = (
     "passenger_count",
@@ -22,6 +23,23 @@ FEATURE_COLUMNS = (
     *[f"{end}_{code}_distance" for code in geo.AIRPORTS for end in ("pickup", "dropoff")],
 )
 
+#: Types of the stored features.
+FEATURE_TYPES = {
+    **dict.fromkeys(FEATURE_COLUMNS, "double"), "passenger_count": "int", "date": "date", "trip_duration": "bigint",
+    **dict.fromkeys(clock.DATE_PARTS, "int"),
+}
+
+_END = {"pickup": "pickup", "dropoff": "dropoff"}
+#: Short descriptions of the features.
+FEATURE_COMMENTS = {
+    **{name: TRIP_COMMENTS[name] for name in ("passenger_count", "trip_distance", "fare_amount")},
+    **{f"{end}_{short}": f"{text} of the {end} zone's centre" for end in _END for short, text in (("long", "longitude"), ("lat", "latitude"))},
+    "date": "day of the pickup",
+    "trip_duration": "whole minutes from pickup to dropoff",
+    **{part: f"{part.replace('_', ' ')} of the pickup" for part in clock.DATE_PARTS},
+    **{f"{end}_{code}_distance": f"metres from the {end} zone to the airport {code.upper()}" for code in geo.AIRPORTS for end in _END},
+}
+
 _PLACE = {"longitude": "long", "latitude": "lat", **{f"{code}_distance": f"{code}_distance" for code in geo.AIRPORTS}}
 
 
@@ -52,10 +70,12 @@ def build_features(
     """Write the feature table. Without ``since`` it is rebuilt; with it the months from that day on
     are replaced as whole months, so that a rerun repeats nothing and loses nothing."""
     if since is None:
-        return tables.replace_table(fare_features(trips, zones), path, "date", label="features-full")
+        rows = tables.declared(fare_features(trips, zones), FEATURE_TYPES, FEATURE_COMMENTS)
+        return tables.replace_table(rows, path, "date", label="features-full")
     first = clock.month_bounds(since)[0]
     months = [m for m in storage.partition_values(spark, path, tables.PART) if m >= f"{first:%Y%m}" and m.isdigit()]
-    written = tables.overwrite_months(fare_features(trips, zones, first), path, "date", label=f"features-{first:%Y%m}")
+    rows = tables.declared(fare_features(trips, zones, first), FEATURE_TYPES, FEATURE_COMMENTS)
+    written = tables.overwrite_months(rows, path, "date", label=f"features-{first:%Y%m}")
     tables.drop_stale(spark, path, written, months)
     return written
 

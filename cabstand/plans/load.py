@@ -11,7 +11,7 @@ from cabstand.functions import clock
 from cabstand.operators import columns, filters, routing, summary
 from cabstand.quality.rules import Suite
 from cabstand.sources import files as file_sources, snapshots, tables
-from cabstand.specs import DatasetSpec
+from cabstand.specs import ROUTE_COMMENTS, SUMMARY_COLUMNS, SUMMARY_COMMENTS, DatasetSpec
 
 
 @dataclass(frozen=True)
@@ -57,6 +57,18 @@ def validate(
     return results
 
 
+def summary_table(rows: DataFrame, spec: DatasetSpec, busiest_scope: str) -> DataFrame:
+    """The summary as it is stored: declared columns with their descriptions."""
+    return tables.declared(summary.monthly_summary(rows, spec, busiest_scope), SUMMARY_COLUMNS, SUMMARY_COMMENTS)
+
+
+def trip_table(rows: DataFrame, spec: DatasetSpec, as_of: clock.Moment | None, null_policy: str) -> DataFrame:
+    """The trips as they are stored: declared columns and the route, with their descriptions."""
+    marked = routing.with_route(rows, spec.rules(as_of), null_policy)
+    comments = {**spec.comments, **ROUTE_COMMENTS}
+    return tables.declared(marked, spec.columns, comments, (routing.ROUTE, routing.REASONS))
+
+
 def run_month(
     spark: SparkSession,
     spec: DatasetSpec,
@@ -82,9 +94,9 @@ def run_month(
         validate(file_sources.read_parquet(spark, source), suite, threshold, as_of, results_path)
     rows = month_input(file_sources.read_parquet(spark, source), spec, month)
     month_folder = f"{clock.month_bounds(month)[0]:%Y%m}"
-    table = summary.monthly_summary(rows, spec, busiest_scope)
+    table = summary_table(rows, spec, busiest_scope)
     summary_sink = (out.summary, "first_day_of_month", spec.cluster_summary, f"summary-{month_folder}")
-    marked = routing.with_route(rows, spec.rules(as_of), null_policy)
+    marked = trip_table(rows, spec, as_of, null_policy)
     trips_sink = (out.trips, spec.start, spec.cluster_rows, f"trips-{month_folder}", (routing.ROUTE,))
     if out.snapshots:
         wrote_summary = snapshots.replace_months(table, *summary_sink, months=[month_folder])
@@ -120,7 +132,7 @@ def run_full(
     rows = file_sources.read_groups(spark, groups, spec.columns)
     if suite is not None:
         validate(rows, suite, threshold, as_of, results_path)
-    table = summary.monthly_summary(rows, spec, busiest_scope)
+    table = summary_table(rows, spec, busiest_scope)
     summary_sink = (out.summary, "first_day_of_month", spec.cluster_summary, f"summary-{spec.name}-full")
     wrote_summary = snapshots.replace_all(table, *summary_sink) if out.snapshots else tables.replace_table(table, *summary_sink)
 
@@ -129,7 +141,7 @@ def run_full(
 
     recent = file_sources.read_groups(spark, groups, spec.columns, keep=recent_files)
     recent = filters.in_recent_months(recent, spec.start, spec.recent_months, as_of)
-    marked = routing.with_route(recent, spec.rules(as_of), null_policy)
+    marked = trip_table(recent, spec, as_of, null_policy)
     trips_sink = (out.trips, spec.start, spec.cluster_rows, f"trips-{spec.name}-full")
     if out.snapshots:
         wrote_trips = snapshots.replace_all(marked, *trips_sink, (routing.ROUTE,))

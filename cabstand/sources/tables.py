@@ -215,6 +215,33 @@ def enforced(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     return conform(df, columns)
 
 
+def declared(df: DataFrame, columns: Mapping[str, str], comments: Mapping[str, str], also: Sequence[str] = ()) -> DataFrame:
+    """What a load writes: the declared columns in declared order and type, then those named in ``also``, all with their descriptions.
+
+    A column that is neither is an error, before anything is written.
+    """
+    present = {name.lower(): name for name in df.columns}
+    unknown = sorted(set(present) - {name.lower() for name in (*columns, *also)})
+    if unknown:
+        raise ValueError(f"columns not in the table: {unknown}")
+    typed = [
+        (F.col(present[name.lower()]).try_cast(kind) if name.lower() in present else F.lit(None).cast(kind)).alias(name)
+        for name, kind in columns.items()
+    ]
+    return commented(df.select(*typed, *[F.col(name) for name in also]), comments)
+
+
+def bucketed(df: DataFrame, name: str, path: str, keys: Sequence[str], buckets: int, sort: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` as a catalog table whose files are split by a hash of ``keys`` and sorted by them (then by ``sort``).
+
+    Two tables with the same number of buckets over keys of the same types join on those keys, and one groups by them,
+    without an exchange: the shuffle is paid once, here. Rows are gathered by bucket first, so a bucket is one file.
+    """
+    rows = df.repartition(buckets, *keys)
+    rows.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys, *sort).option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def as_view(df: DataFrame, name: str) -> DataFrame:
     """Register a frame as a view; nothing is stored, readers always see the current result."""
     df.createOrReplaceTempView(name)

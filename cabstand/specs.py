@@ -67,7 +67,7 @@ ZONE_COLUMNS = {
     "latitude": "double",
 }
 
-# Short descriptions stored with the trip columns.
+#: Short descriptions stored with the trip columns.
 TRIP_COMMENTS = {
     "VendorID": "provider of the record: 1 Creative Mobile Technologies, 2 VeriFone",
     "tpep_pickup_datetime": "meter engaged",
@@ -80,10 +80,50 @@ TRIP_COMMENTS = {
     "DOLocationID": "zone of the dropoff",
     "payment_type": "how the passenger paid",
     "fare_amount": "time-and-distance fare",
+    "extra": "rush-hour, overnight and other extras",
+    "mta_tax": "tax that the metered rate triggers",
+    "tip_amount": "tip paid by card; cash tips are not recorded",
+    "tolls_amount": "all tolls of the trip",
+    "improvement_surcharge": "surcharge at the start of the trip",
+    "congestion_surcharge": "state surcharge for congestion",
     "total_amount": "charged in total, without cash tips",
     "airport_fee": "fee for pickups at an airport",
 }
 
+#: Short descriptions of the summary, by column.
+SUMMARY_COMMENTS = {
+    "VendorID": TRIP_COMMENTS["VendorID"],
+    "payment_type": TRIP_COMMENTS["payment_type"],
+    "store_and_fwd_flag": TRIP_COMMENTS["store_and_fwd_flag"],
+    "pickup_zone": TRIP_COMMENTS["PULocationID"],
+    "dropoff_zone": TRIP_COMMENTS["DOLocationID"],
+    "first_day_of_month": "month of the pickups",
+    **{
+        name: f"sum over the month's trips: {TRIP_COMMENTS[source]}"
+        for name, source in {
+            "monthly_fare_amount": "fare_amount",
+            "monthly_total_amount": "total_amount",
+            "monthly_extra_amount": "extra",
+            "monthly_mta_tax": "mta_tax",
+            "monthly_tip_amount": "tip_amount",
+            "monthly_tolls_amount": "tolls_amount",
+            "monthly_improvement_surcharge": "improvement_surcharge",
+            "monthly_congestion_surcharge": "congestion_surcharge",
+            "monthly_airport_fee": "airport_fee",
+        }.items()
+    },
+    "average_passenger_count": "mean number of passengers",
+    "average_trip_distance": "mean distance in miles",
+    "trip_count": "number of trips",
+    "avg_duration_minutes": "mean time from pickup to dropoff in minutes",
+    "total_duration_seconds": "time from pickup to dropoff, summed, in seconds",
+    "total_duration_hours": "time from pickup to dropoff, summed, in hours",
+    "busiest_hour_of_day": "hour with the most pickups, the earliest of several",
+}
+
+#: Short descriptions of what routing adds to a trip.
+ROUTE_COMMENTS = {"route": "clean or triage", "failed_rules": "cleansing rules that the trip does not meet"}
+
 
 def struct_of(columns: Mapping[str, str], comments: Mapping[str, str] | None = None) -> T.StructType:
     """A declared ``StructType``; comments travel in the field metadata and so into the table."""
