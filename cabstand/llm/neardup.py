@@ -8,14 +8,17 @@ one stays empty the rank is doubled. A unit of weight throws its darts one after
 long text throw none.
 
 Texts that agree in a band of coordinates are candidates. Equal texts are one node. In a band's bucket each node is first
-compared with the smallest and the largest node and with the smallest of its part of the bucket. Where that leaves nodes of
-several classes in a bucket, every two of them in different classes are compared, so a pair of a bucket is either
-compared or in one class already. Candidates whose signatures agree too little are set aside; for the others the exact similarity is
-computed from all shingles. Classes are the connected components of what remains.
+compared with the bucket's centre: the node whose own buckets are the most crowded, which in a family of near copies is the one
+that the others were made from. Where that leaves nodes of several classes in a bucket, its largest class is set against the others
+and those among each other, in tiles of a bounded number of nodes that hold the shingles themselves; a tile gives back at most one
+link per node and joins what it has found as it goes, so no pairs are written out. A pair of a bucket is thus either compared or
+in one class already. Similarity is always computed exactly, from all shingles; candidates of the first step whose signatures agree
+too little are set aside. Classes are the connected components of the links.
 
 Nulls and ties: texts without a word, NULL among them, are alike to nothing and are classes of their own; texts of fewer than
-five words count as one shingle; a class is named by its smallest id; rows with the same id are in one class; rows with a
-NULL id have a NULL class. Other columns are ignored by the search and passed through by :func:`deduplicated`.
+five words count as one shingle; a class is named by its smallest id; an id that stands for several texts is in the class of each,
+row by row; rows with a NULL id have a NULL class and take no part. :func:`near_duplicates` ignores other columns,
+:func:`deduplicated` passes them through, whatever their names; it treats rows that repeat an id and a text as one document.
 """
 
 from __future__ import annotations
@@ -31,7 +34,8 @@ from pyspark.sql import functions as F
 from cabstand.llm.common import STEP, components, mixed, shingles, slices, stored, utf8
 
 SIZE, BANDS = 100, 20
-PARTS = 16
+#: Nodes on each side of a tile.
+TILE = 256
 
 
 def counted(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -100,7 +104,7 @@ def bands(signature: np.ndarray, count: int = BANDS) -> np.ndarray:
 
 
 def signed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(node_id, key, bands, sketch) of the rows with a word and an id: a key for the text and a byte per coordinate."""
+    """(node_id, key, bands, sketch) of every row: a key for the text and a byte per coordinate, NULL without a word."""
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -108,39 +112,49 @@ def signed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 n = len(offsets) - 1
                 rows, values, _ = shingles(data, offsets)
                 signature = signatures(n, *cells(*counted(rows, values)))
-                some = np.flatnonzero(np.bincount(rows, minlength=n) > 0)
+                some = np.bincount(rows, minlength=n) > 0
                 hashes = bands(signature[some]).view(np.int64)
-                sketch = (signature[some] & np.uint64(255)).astype(np.uint8)
-                take = pa.array(at + some)
+                sketch = (signature & np.uint64(255)).astype(np.uint8)
+                ends = np.concatenate([[0], some.cumsum()]).astype(np.int32) * BANDS
+                keys = batch.column(1).slice(at, n)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).take(take),
-                        batch.column(1).take(take),
-                        pa.ListArray.from_arrays(np.arange(len(some) + 1, dtype=np.int32) * BANDS, hashes.ravel()),
-                        pa.array([row.tobytes() for row in sketch], pa.binary()),
+                        batch.column(0).slice(at, n),
+                        pa.array([key.as_py() if has else None for key, has in zip(keys, some.tolist())], pa.binary()),
+                        pa.ListArray.from_arrays(ends, hashes.ravel()),
+                        pa.array([row.tobytes() if has else None for row, has in zip(sketch, some.tolist())], pa.binary()),
                     ],
                     ["node_id", "key", "bands", "sketch"],
                 )
 
-    body = utf8(F.col(text).cast("string"))
-    chosen = docs.where(F.col(doc_id).isNotNull()).select(
-        F.col(doc_id).cast("long").alias("node_id"), F.unhex(F.md5(body)).alias("key"), body.alias("body")
-    )
+    body = utf8(F.col(f"`{text}`").cast("string"))
+    chosen = docs.select(F.col(f"`{doc_id}`").cast("long").alias("node_id"), F.unhex(F.md5(body)).alias("key"), body.alias("body"))
     return chosen.mapInArrow(sign, "node_id long, key binary, bands array<long>, sketch binary")
 
 
+def nodes_of(rows: DataFrame) -> DataFrame:
+    """(node, key, least_id, bands, sketch): one node per text. Its number is a hash of the key; should two keys
+    share a hash, the later one gets another."""
+    texts = rows.where(F.col("key").isNotNull() & F.col("node_id").isNotNull()).groupBy("key").agg(
+        F.min("node_id").alias("least_id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
+    )
+    number = F.xxhash64("key")
+    place = F.row_number().over(Window.partitionBy(number).orderBy("key"))
+    return texts.withColumn("place", place).select(
+        F.when(F.col("place") == 1, number).otherwise(F.xxhash64("key", "place")).alias("node"), "key", "least_id", "bands", "sketch"
+    )
+
+
 def candidates(nodes: DataFrame) -> DataFrame:
-    """(a, b) of nodes that share a band with one of its centres, a > b."""
+    """(a, b) of nodes that share a band with its centre, a > b."""
     spread = nodes.select("node", F.explode("bands").alias("band"))
-    part = F.pmod(F.xxhash64("node", "band"), F.lit(PARTS)).cast("int")
-    parts = spread.groupBy("band", part.alias("part")).agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n"))
-    whole = parts.groupBy(F.col("band").alias("w_band")).agg(F.min("low").alias("least"), F.max("high").alias("most"), F.sum("n").alias("all")).where(F.col("all") > 1)
-    centres = parts.join(whole, F.col("band") == F.col("w_band")).select(
-        F.col("band").alias("c_band"), F.col("part").alias("c_part"), "low", "least", "most"
-    )
-    met = spread.withColumn("part", part).join(centres, (F.col("band") == F.col("c_band")) & (F.col("part") == F.col("c_part")))
-    pairs = met.select("node", F.explode(F.array_distinct(F.array("low", "least", "most"))).alias("other")).where(F.col("node") != F.col("other"))
-    return pairs.select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b")).distinct()
+    sizes = spread.groupBy(F.col("band").alias("w_band")).agg(F.count("*").alias("size")).where(F.col("size") > 1)
+    crowded = spread.join(sizes, F.col("band") == F.col("w_band")).select("node", "band", "size")
+    crowd = crowded.groupBy(F.col("node").alias("c_node")).agg(F.sum("size").alias("crowd"))
+    ranked = crowded.join(crowd, F.col("node") == F.col("c_node")).select("node", "band", "crowd")
+    centres = ranked.groupBy(F.col("band").alias("b_band")).agg(F.max_by("node", F.struct("crowd", -F.col("node"))).alias("centre"))
+    met = crowded.join(centres, F.col("band") == F.col("b_band")).where(F.col("node") != F.col("centre"))
+    return met.select(F.greatest("node", "centre").alias("a"), F.least("node", "centre").alias("b")).distinct()
 
 
 def agreement(left: str, right: str):
@@ -156,66 +170,133 @@ def agreement(left: str, right: str):
     return agree(F.col(left), F.col(right))
 
 
-def crossing(nodes: DataFrame, classes: DataFrame, least: int) -> DataFrame:
-    """(a, b) of all nodes that share a band and are not in one class, a > b, whose sketches agree in ``least`` bytes.
+def _shingle_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(end, body) to (end, items): the sorted hashes of a text's weighted shingles."""
+    for batch in batches:
+        out: list[bytes] = []
+        for _, data, offsets in slices(batch.column(1)):
+            rows, values, _ = shingles(data, offsets)
+            rows, units, _ = cells(*counted(rows, values))
+            order = np.lexsort((units, rows))
+            starts = np.searchsorted(rows[order], np.arange(len(offsets)))
+            units = units[order]
+            out += [units[a:b].tobytes() for a, b in zip(starts, starts[1:])]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["end", "items"])
 
-    A bucket whose nodes are all in one class has nothing left to compare and is not spread out.
-    """
-    labelled = nodes.join(classes, F.col("node") == F.col("c_node"), "left").select("node", F.coalesce("class", "node").alias("label"), "bands", "sketch")
+
+#: Rows of texts to be fetched up to which their keys are broadcast; beyond, texts are shuffled to them.
+FETCHED = 500_000
+
+
+def shingle_sets(docs: DataFrame, nodes: DataFrame, ends: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(end, items) of the named nodes; ``ends`` has a column ``end`` without repeats."""
+    wanted = stored(ends.join(nodes, F.col("end") == F.col("node")).select("end", F.col("least_id").alias("end_id"), F.col("key").alias("end_key")))
+    if wanted.count() <= FETCHED:
+        wanted = F.broadcast(wanted)
+    body = utf8(F.col(f"`{text}`").cast("string"))
+    bodies = docs.select(F.col(f"`{doc_id}`").cast("long").alias("body_id"), body.alias("body")).withColumn("body_key", F.unhex(F.md5("body")))
+    named = bodies.join(wanted, (F.col("body_id") == F.col("end_id")) & (F.col("body_key") == F.col("end_key")))
+    return named.select("end", "body").mapInArrow(_shingle_sets, "end long, items binary")
+
+
+def enough(one: np.ndarray, two: np.ndarray, threshold: float) -> bool:
+    """Whether two sorted sets reach the similarity."""
+    if min(len(one), len(two)) < threshold * max(len(one), len(two)):
+        return False
+    common = len(np.intersect1d(one, two, assume_unique=True))
+    return common >= threshold * (len(one) + len(two) - common)
+
+
+def open_rows(nodes: DataFrame, classes: DataFrame) -> DataFrame:
+    """(band, node, label, main) of the buckets whose nodes are in several classes; ``main`` marks the largest class."""
+    labelled = nodes.join(classes, F.col("node") == F.col("c_node"), "left").select("node", F.coalesce("class", "node").alias("label"), "bands")
     spread = labelled.select("node", "label", F.explode("bands").alias("band"))
-    open_ = spread.groupBy(F.col("band").alias("o_band")).agg(F.min("label").alias("low"), F.max("label").alias("high")).where(F.col("low") < F.col("high"))
-    left = stored(spread.join(open_, F.col("band") == F.col("o_band")).select("band", "node", "label"))
-    sketches = nodes.select(F.col("node").alias("s_node"), "sketch")
-    rows = left.join(sketches, F.col("node") == F.col("s_node")).select("band", "node", "label", "sketch")
-    others = rows.withColumnsRenamed({"band": "band_b", "node": "b", "label": "label_b", "sketch": "sketch_b"})
-    met = rows.join(
-        others, (F.col("band") == F.col("band_b")) & (F.col("label") != F.col("label_b")) & (F.col("node") > F.col("b"))
-    )
-    return met.where(agreement("sketch", "sketch_b") >= least).select(F.col("node").alias("a"), "b").distinct()
+    sizes = spread.groupBy("band", "label").agg(F.count("*").alias("n"))
+    open_ = sizes.groupBy(F.col("band").alias("o_band")).agg(
+        F.count("*").alias("several"), F.max_by("label", F.struct("n", -F.col("label"))).alias("largest"),
+        F.sum("n").alias("all"), F.max("n").alias("most"),
+    ).where(F.col("several") > 1)
+    met = spread.join(open_, F.col("band") == F.col("o_band"))
+    return met.select("band", "node", "label", (F.col("label") == F.col("largest")).alias("main"), "most", (F.col("all") - F.col("most")).alias("others"))
 
 
-def verified(pairs: DataFrame, docs: DataFrame, threshold: float, doc_id: str, text: str) -> DataFrame:
-    """The pairs whose weighted similarity reaches the threshold, computed from all shingles of both texts."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("end")).distinct()
+TILED = "band long, row_tile int, column_tile int, side int, node long, label long, items binary"
 
-    def items(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[bytes] = []
-            for _, data, offsets in slices(batch.column(1)):
-                rows, values, _ = shingles(data, offsets)
-                rows, units, _ = cells(*counted(rows, values))
-                units = (units >> np.uint64(32)).astype(np.uint32)
-                order = np.lexsort((units, rows))
-                starts = np.searchsorted(rows[order], np.arange(len(offsets)))
-                units = units[order]
-                out += [np.unique(units[a:b]).tobytes() for a, b in zip(starts, starts[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["end", "items"])
-
-    bodies = docs.select(F.col(doc_id).cast("long").alias("body_id"), utf8(F.col(text).cast("string")).alias("body"))
-    sets = bodies.join(ends, F.col("body_id") == F.col("end")).select("end", "body").mapInArrow(items, "end long, items binary")
+
+def crossing(rows: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): links between nodes of different classes of a bucket, at least enough of them to connect what belongs together.
+
+    Nodes outside the largest class of a bucket are dealt over tiles of about ``TILE``; each tile meets every other
+    tile of such nodes and every tile of the largest class once. Only nodes outside it are copied as often as there are tiles of
+    it, and the other way round.
+    """
+    tiles = lambda n: F.ceil(F.col(n) / TILE).cast("int")
+    own = F.when(F.col("main"), F.pmod(F.xxhash64("node"), tiles("most"))).otherwise(F.pmod(F.xxhash64("node"), tiles("others")))
+    held = rows.join(sets, F.col("node") == F.col("end")).withColumn("own", own.cast("int"))
+    spread = lambda n: F.sequence(F.lit(0), tiles(n) - 1)
+    # Side 0 are nodes outside the largest class, side 1 are nodes of it, at tiles numbered below zero.
+    meeting = F.when(
+        F.col("main"),
+        F.transform(spread("others"), lambda j: F.struct(j.alias("r"), (-F.col("own") - 1).alias("c"), F.lit(1).alias("s"))),
+    ).otherwise(
+        F.concat(
+            F.transform(spread("others"), lambda j: F.struct(F.greatest(j, F.col("own")).alias("r"), F.least(j, F.col("own")).alias("c"), F.lit(0).alias("s"))),
+            F.transform(spread("most"), lambda j: F.struct(F.col("own").alias("r"), (-j - 1).alias("c"), F.lit(0).alias("s"))),
+        )
+    )
+    dealt = held.select("band", F.explode(meeting).alias("at"), "node", "label", "items")
+    dealt = dealt.select("band", F.col("at.r").alias("row_tile"), F.col("at.c").alias("column_tile"), F.col("at.s").alias("side"), "node", "label", "items")
+
+    def compare(tile: pa.Table) -> pa.Table:
+        side, node, label = (tile.column(name).to_numpy() for name in ("side", "node", "label"))
+        items = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for chunk in tile.column("items").chunks for x in chunk]
+        sizes = np.array([len(x) for x in items])
+        starts = np.concatenate([[0], sizes.cumsum()[:-1]])
+        known, codes = np.unique(np.concatenate(items), return_inverse=True)
+        root = {int(x): int(x) for x in label}
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        found, mark = [], np.zeros(len(known), dtype=bool)
+        for i in np.flatnonzero(side == 0).tolist():
+            own = codes[starts[i] : starts[i] + sizes[i]]
+            mark[own] = True
+            common = np.add.reduceat(mark[codes], starts, dtype=np.int64)
+            mark[own] = False
+            near = common >= threshold * (sizes[i] + sizes - common)
+            for j in np.flatnonzero(near).tolist():
+                one, two = find(int(label[i])), find(int(label[j]))
+                if one != two:
+                    root[max(one, two)] = min(one, two)
+                    found.append((int(node[i]), int(node[j])))
+        a, b = zip(*found) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return dealt.groupBy("band", "row_tile", "column_tile").applyInArrow(compare, "a long, b long")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The pairs whose weighted similarity reaches the threshold, computed from all shingles of both texts."""
     first = sets.select(F.col("end").alias("end_a"), F.col("items").alias("items_a"))
     second = sets.select(F.col("end").alias("end_b"), F.col("items").alias("items_b"))
     both = pairs.join(first, F.col("a") == F.col("end_a")).join(second, F.col("b") == F.col("end_b"))
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for a, b in zip(batch.column(2), batch.column(3)):
-                one, two = (np.frombuffer(x.as_buffer(), dtype=np.uint32) for x in (a, b))
-                common = len(np.intersect1d(one, two, assume_unique=True))
-                keep.append(common >= threshold * (len(one) + len(two) - common))
+            sides = ((np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in batch.column(k)) for k in (2, 3))
+            keep = [enough(one, two, threshold) for one, two in zip(*sides)]
             some = batch.filter(pa.array(keep, pa.bool_()))
             yield pa.RecordBatch.from_arrays([some.column(0), some.column(1)], ["a", "b"])
 
     return both.select("a", "b", "items_a", "items_b").mapInArrow(compare, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, class_id, n_links) for every row of ``docs``; ``n_links`` counts the other texts of the class."""
-    rows = stored(signed(docs, doc_id, text))
-    nodes = stored(
-        rows.groupBy("key").agg(F.min("node_id").alias("node"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
-    )
+def _classes(docs: DataFrame, rows: DataFrame, threshold: float, doc_id: str, text: str) -> DataFrame:
+    """(key, class_id, n_texts, kept_key): the class of every text, its smallest id, its size and the text that stands for it."""
+    nodes = stored(nodes_of(rows))
     sketches = nodes.select(F.col("node").alias("s_node"), "sketch")
     pairs = (
         candidates(nodes)
@@ -225,39 +306,49 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, doc_id: str = "doc_
     # Five standard deviations below the threshold: no pair that reaches it is set aside.
     least = int(SIZE * threshold - 5 * math.sqrt(SIZE * threshold * (1 - threshold)))
     pairs = stored(pairs.where(agreement("sketch_a", "sketch_b") >= least).select("a", "b").distinct())
-    links = verified(pairs, docs, threshold, doc_id, text)
-    # An id that stands for several texts ties their nodes together.
-    named = rows.select("node_id", "key").join(nodes.select(F.col("key").alias("n_key"), "node"), F.col("key") == F.col("n_key"))
-    tied = named.where(F.col("node_id") != F.col("node")).join(
-        nodes.select(F.col("node").alias("own")).distinct(), F.col("node_id") == F.col("own")
-    )
-    met = components(links.unionByName(tied.select(F.col("node_id").alias("a"), F.col("node").alias("b"))))
-    met = met.select(F.col("node").alias("c_node"), "class")
-    # What the centres have compared already is not compared again.
-    rest = stored(crossing(nodes, met, least).join(pairs, ["a", "b"], "left_anti"))
-    edges = met.select(F.col("c_node").alias("a"), F.col("class").alias("b")).unionByName(verified(rest, docs, threshold, doc_id, text))
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("end")).distinct()
+    links = stored(verified(pairs, shingle_sets(docs, nodes, ends, doc_id, text), threshold))
+    met = components(links).select(F.col("node").alias("c_node"), "class")
+    left = stored(open_rows(nodes, met))
+    rest = crossing(left, shingle_sets(docs, nodes, left.select(F.col("node").alias("end")).distinct(), doc_id, text), threshold)
+    edges = met.select(F.col("c_node").alias("a"), F.col("class").alias("b")).unionByName(rest)
     classes = components(edges).select(F.col("node").alias("c_node"), "class")
-    label = F.coalesce("class", "node")
-    sizes = nodes.join(classes, F.col("node") == F.col("c_node"), "left").groupBy(label.alias("z_class")).agg(F.count("*").alias("n_texts"))
-    of_id = (
-        named.join(classes, F.col("node") == F.col("c_node"), "left")
-        .groupBy(F.col("node_id").alias("i_id"))
-        .agg(F.min(label).alias("class_id"))
-        .join(sizes.where(F.col("n_texts") > 1), F.col("class_id") == F.col("z_class"), "left")
+    labelled = nodes.join(classes, F.col("node") == F.col("c_node"), "left").select("key", "least_id", F.coalesce("class", "node").alias("label"))
+    of_label = labelled.groupBy(F.col("label").alias("o_label")).agg(
+        F.min(F.struct("least_id", "key")).alias("first"), F.count("*").alias("n_texts")
     )
-    ids = docs.select(F.col(doc_id).cast("long").alias(doc_id))
-    return ids.join(of_id, F.col(doc_id) == F.col("i_id"), "left").select(
-        F.col(doc_id),
-        F.coalesce("class_id", doc_id).alias("class_id"),
-        F.coalesce(F.col("n_texts") - 1, F.lit(0)).cast("long").alias("n_links"),
+    return labelled.join(of_label, F.col("label") == F.col("o_label")).select(
+        F.col("key").alias("k_key"), F.col("first.least_id").alias("class_id"), "n_texts", F.col("first.key").alias("kept_key")
+    )
+
+
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, class_id, n_texts) for every row of ``docs``; ``n_texts`` counts the different texts of the class."""
+    rows = stored(signed(docs, doc_id, text))
+    classes = _classes(docs, rows, threshold, doc_id, text)
+    named = F.when(F.col("node_id").isNotNull(), F.col("key"))
+    return rows.join(classes, named == F.col("k_key"), "left").select(
+        F.col("node_id").alias(doc_id),
+        F.coalesce("class_id", "node_id").alias("class_id"),
+        F.when(F.col("node_id").isNotNull(), F.coalesce("n_texts", F.lit(1))).cast("long").alias("n_texts"),
     )
 
 
 def deduplicated(docs: DataFrame, threshold: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each class, that with the smallest id. Rows without an id stay."""
-    classes = near_duplicates(docs, threshold, doc_id, text).select(F.col(doc_id).alias("own_id"), "class_id").distinct()
-    gone = classes.where(F.col("own_id") != F.col("class_id")).select("own_id")
-    left = docs.join(gone, F.col(doc_id).cast("long") == F.col("own_id"), "left_anti")
-    again = Window.partitionBy(doc_id).orderBy(F.lit(0))
-    first = F.when(F.col(doc_id).isNull(), 1).otherwise(F.row_number().over(again))
-    return left.withColumn("_again", first).where(F.col("_again") == 1).drop("_again")
+    rows = stored(signed(docs, doc_id, text))
+    classes = _classes(docs, rows, threshold, doc_id, text)
+    own = rows.select("node_id", "key").where(F.col("node_id").isNotNull() & F.col("key").isNotNull()).distinct()
+    met = own.join(classes, F.col("key") == F.col("k_key"))
+    gone = met.where((F.col("node_id") != F.col("class_id")) | (F.col("key") != F.col("kept_key"))).select(
+        F.col("node_id").alias("gone_id"), F.col("key").alias("gone_key")
+    )
+    columns = [F.col(f"`{name}`").alias(f"c{i}") for i, name in enumerate(docs.columns)]
+    body = utf8(F.col(f"`{text}`").cast("string"))
+    whole = docs.select(F.col(f"`{doc_id}`").cast("long").alias("row_id"), F.unhex(F.md5(body)).alias("row_key"), F.struct(*columns).alias("row"))
+    placed = whole.where(F.col("row_id").isNotNull())
+    left = placed.join(gone, (F.col("row_id") == F.col("gone_id")) & (F.col("row_key") == F.col("gone_key")), "left_anti")
+    again = F.row_number().over(Window.partitionBy("row_id", "row_key").orderBy("row_id"))
+    once = left.withColumn("again", again).where(F.col("again") == 1).drop("again")
+    kept = once.unionByName(whole.where(F.col("row_id").isNull()))
+    return kept.select(*[F.col(f"row.c{i}").alias(name) for i, name in enumerate(docs.columns)])

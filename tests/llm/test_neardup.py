@@ -1,8 +1,10 @@
+import random
 import re
 from collections import Counter
 from itertools import combinations
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from cabstand.llm import neardup
 from cabstand.llm.common import components
@@ -70,7 +72,52 @@ def test_versions_of_a_template_against_all_pairs(spark):
     got = neardup.near_duplicates(table(spark, rows)).collect()
     assert {r.doc_id: r.class_id for r in got} == want
     members = Counter(want.values())
-    assert {r.doc_id: r.n_links for r in got} == {i: members[c] - 1 for i, c in want.items()}
+    assert {r.doc_id: r.n_texts for r in got} == {i: members[c] for i, c in want.items()}
+
+
+def skewed_rows(n=400):
+    """A family around one text: most copies are near to it, a quarter is not, and some of those are near to each other."""
+    base = prose(900, 150).replace("\n", " ")
+    rng, rows = random.Random(4), [(n + 7, base, "en", "a", 1)]
+    far = []
+    for i in range(n):
+        text = rng.choice(far) if far and rng.random() < 0.1 else base
+        for k in range(rng.choice([1, 1, 1, 2, 3, 5, 8])):
+            text = edited(text, rng.randrange(150), f"e{i}x{k}")
+        far.append(text)
+        rows.append((i, text, "en", "a", 1))
+    return rows
+
+
+def test_a_family_around_one_text_against_all_pairs(spark, monkeypatch):
+    rows = skewed_rows()
+    want = brute(rows)
+    assert 20 < len(set(want.values())) < 200
+    for tile in (neardup.TILE, 16):
+        monkeypatch.setattr(neardup, "TILE", tile)
+        monkeypatch.setattr(neardup, "FETCHED", 0 if tile == 16 else neardup.FETCHED)
+        got = neardup.near_duplicates(table(spark, rows)).collect()
+        assert {r.doc_id: r.class_id for r in got} == want
+
+
+def test_texts_of_one_id_are_told_apart(spark):
+    a, b, c = (prose(k, 80) for k in (31, 32, 33))
+    rows = [(1, a, "en", "a", 1), (1, b, "en", "a", 1), (1, b, "en", "a", 1), (2, edited(b, 40), "en", "a", 1), (1, edited(a, 3), "en", "a", 1), (3, c, "en", "a", 1)]
+    kept = neardup.deduplicated(table(spark, rows)).collect()
+    assert sorted(r.doc_id for r in kept) == [1, 1, 3]
+    texts = [r.text for r in kept]
+    assert b in texts and c in texts and (a in texts) != (edited(a, 3) in texts)
+
+
+def test_columns_of_any_name_pass_through(spark):
+    docs = clashing(table(spark, near_rows()))
+    for name in ("own_id", "_again", "row", "row_id", "row_key", "gone_id", "class_id", "node_id", "band", "items", "a.b"):
+        docs = docs.withColumn(name, F.lit(3))
+    kept = neardup.deduplicated(docs)
+    assert kept.columns == docs.columns
+    rows = kept.collect()
+    assert all(r["a.b"] == 3 and r["own_id"] == 3 and r["k1"] == "x" for r in rows)
+    assert len(rows) == neardup.deduplicated(table(spark, near_rows())).count()
 
 
 def test_one_of_each_class_stays(spark):
