@@ -30,13 +30,16 @@ from cabstand.llm.common import row_keys, written
 
 #: Doublings of the prefix scan: lines of up to 2**27 words.
 SCAN_STEPS = 27
-BLANKS = r"[\x20\x09\x0B-\x0D]+"
+OTHER_BLANKS = "\t\x0b\x0c\r"
 SUBSTITUTED, LONGER, SHORTER = 0, 1, 2
 
 
 def even_lines(text: Column) -> Column:
     """The lines of a text with single blanks between words; numbering as in the text."""
-    return F.transform(F.split(F.regexp_replace(text, BLANKS, " "), "\n"), lambda line: F.trim(line))
+    for blank in OTHER_BLANKS:
+        text = F.replace(text, F.lit(blank), F.lit(" "))
+    single = F.when(F.contains(text, F.lit("  ")), F.regexp_replace(text, " +", " ")).otherwise(text)
+    return F.transform(F.split(single, "\n"), lambda line: F.trim(line))
 
 
 def halves(words: Column, n: Column) -> list[Column]:
@@ -65,20 +68,19 @@ def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.col(doc_id).alias("t_id"), body.alias("t_text"), *row_keys(F.col(doc_id), body))
 
 
-def _lines(texts: DataFrame, least: int) -> DataFrame:
-    """One row per line: where it is, two hashes that name it, its length and the four half keys."""
+def _lines(texts: DataFrame, least: int, whole: int) -> DataFrame:
+    """One row per line: where it is, two hashes that name it, its length and, from ``whole`` words on, the four half keys."""
     rows = texts.select("t_id", "k1", "k2", F.posexplode(even_lines(F.col("t_text"))).alias("no", "line"))
     rows = rows.withColumn("words", F.split("line", " ")).withColumn("n", F.size("words")).where((F.col("n") >= least) & (F.col("line") != ""))
-    keys = [key["key"].alias(f"half{i}") for i, key in enumerate(halves(F.col("words"), F.col("n")))]
+    keys = [F.when(F.col("n") >= whole, key["key"]).alias(f"half{i}") for i, key in enumerate(halves(F.col("words"), F.col("n")))]
     return rows.select(*PLACE, F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2"), "n", *keys)
 
 
 def _needed(first: DataFrame) -> DataFrame:
-    """Which variants each distinct line has to spell out: (h1, h2, needs), only for lines that share a half."""
+    """Which variants each distinct line has to spell out: (id, needs), only for lines that share a half."""
     kinds = [(False, 0), (False, 1), (True, 0), (True, 1)]
     keyed = first.select(
-        "h1",
-        "h2",
+        "id",
         F.explode(
             F.array(
                 *[
@@ -87,7 +89,7 @@ def _needed(first: DataFrame) -> DataFrame:
                 ]
             )
         ).alias("k"),
-    ).select("h1", "h2", "k.*")
+    ).select("id", "k.*")
     live = (
         keyed.groupBy(F.col("key").alias("live_key"))
         .agg(F.count(F.when(~F.col("longer"), 1)).alias("equals"), F.count(F.when(F.col("longer"), 1)).alias("longers"))
@@ -96,7 +98,7 @@ def _needed(first: DataFrame) -> DataFrame:
     met = keyed.join(live, F.col("key") == F.col("live_key"))
     flag = lambda condition: F.max(F.when(condition, 1).otherwise(0))
     equal, longer = ~F.col("longer") & (F.col("equals") >= 2), F.col("longer") & (F.col("equals") >= 1)
-    return met.groupBy("h1", "h2").agg(
+    return met.groupBy("id").agg(
         # The half that is shared stands still; words are left out in the other one.
         flag(equal & (F.col("side") == 1)).alias("swap_front"),
         flag(equal & (F.col("side") == 0)).alias("swap_back"),
@@ -124,7 +126,7 @@ def _variants(wanted: DataFrame, texts: DataFrame) -> DataFrame:
     """(n, hash, place, role) of every variant that is needed, with the line it comes from."""
     per_text = wanted.groupBy(F.col("k1").alias("w1"), F.col("k2").alias("w2")).agg(
         F.collect_list(
-            F.struct("no", "h1", "h2", "swap_front", "swap_back", "cut_front", "cut_back", "short")
+            F.struct("no", "id", "swap_front", "swap_back", "cut_front", "cut_back", "short")
         ).alias("wanted")
     )
     rows = (
@@ -167,14 +169,14 @@ def _variants(wanted: DataFrame, texts: DataFrame) -> DataFrame:
     )
     whole = F.when(F.col("short") == 1, F.array(variant(F.col("n"), all_at, F.lit(-1), SHORTER))).otherwise(none)
     return rows.select(
-        F.struct(*PLACE).alias("line"), "h1", "h2", F.explode(F.concat(swapped, F.array_distinct(cut), whole)).alias("v")
-    ).select("line", "h1", "h2", "v.*")
+        F.struct(*PLACE).alias("line"), "id", F.explode(F.concat(swapped, F.array_distinct(cut), whole)).alias("v")
+    ).select("line", "id", "v.*")
 
 
 def _witnesses(variants: DataFrame) -> DataFrame:
-    """(h1, h2, line, other): an earlier line that shares a variant."""
+    """(id, line, other): an earlier line that shares a variant."""
     group = Window.partitionBy("n", "hash", "place")
-    origin = F.struct("line", "h1", "h2")
+    origin = F.struct("line", "id")
     met = variants.select(
         "*",
         *[F.min(F.when(F.col("role") == role, origin)).over(group).alias(f"first{role}") for role in (SUBSTITUTED, LONGER, SHORTER)],
@@ -184,8 +186,8 @@ def _witnesses(variants: DataFrame) -> DataFrame:
         .when(F.col("role") == LONGER, F.col(f"first{SHORTER}"))
         .otherwise(F.col(f"first{LONGER}"))
     )
-    met = met.withColumn("origin", other).where((F.col("origin.h1") != F.col("h1")) | (F.col("origin.h2") != F.col("h2")))
-    return met.withColumn("other", F.col("origin.line")).where(F.col("other") < F.col("line")).select("h1", "h2", "line", "other").distinct()
+    met = met.withColumn("origin", other).where(F.col("origin.id") != F.col("id"))
+    return met.withColumn("other", F.col("origin.line")).where(F.col("other") < F.col("line")).select("id", "line", "other").distinct()
 
 
 def _with_words(pairs: DataFrame, texts: DataFrame, place: str, words: str) -> DataFrame:
@@ -207,21 +209,22 @@ def one_edit(left: Column, right: Column) -> Column:
 def removed_lines(docs: DataFrame, min_words: int = 8, doc_id: str = "doc_id", text: str = "text", equal_words: int | None = None) -> DataFrame:
     """(k1, k2, removed): the numbers of the lines that go, for each text that loses any."""
     texts = _texts(docs, doc_id, text)
-    lines = _lines(texts, min_words if equal_words is None else equal_words)
+    lines = _lines(texts, min_words if equal_words is None else equal_words, min_words)
     first = lines.groupBy("h1", "h2").agg(
         F.min(F.struct(*PLACE)).alias("line"),
         F.count("*").alias("times"),
         F.first("n").alias("n"),
         *[F.first(f"half{i}").alias(f"half{i}") for i in range(4)],
     )
-    first = written(first, "lines")
-    wanted = first.select("h1", "h2", "line.*").join(_needed(first.where(F.col("n") >= min_words)), ["h1", "h2"])
+    # One number for each distinct line, fixed by writing the table.
+    first = written(first.withColumn("id", F.monotonically_increasing_id()), "lines")
+    wanted = first.select("id", "line.*").join(_needed(first.where(F.col("n") >= min_words)), "id")
     pairs = _witnesses(_variants(wanted, texts))
     pairs = _with_words(_with_words(pairs, texts, "line", "words"), texts, "other", "other_words")
-    near = pairs.where(one_edit(F.col("words"), F.col("other_words"))).select("h1", "h2").distinct().withColumn("near", F.lit(True))
+    near = pairs.where(one_edit(F.col("words"), F.col("other_words"))).select("id").distinct().withColumn("near", F.lit(True))
     judged = (
-        first.select("h1", "h2", "line", "times")
-        .join(near, ["h1", "h2"], "left")
+        first.select("id", "h1", "h2", "line", "times")
+        .join(near, "id", "left")
         .where((F.col("times") > 1) | F.col("near"))
         .select(F.col("h1").alias("j1"), F.col("h2").alias("j2"), F.col("line").alias("kept"), F.coalesce("near", F.lit(False)).alias("near"))
     )

@@ -153,8 +153,8 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What is left of every document once lines go that equal an earlier one or differ from it by one word."""
-    left = lines.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """What is left of every document once lines go that equal an earlier one or, from eight words on, differ from it by one word."""
+    left = lines.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"), equal_words=1)
     return left.select("doc_id", "n_lines", "n_removed", F.md5(F.coalesce("text", F.lit(""))).alias("kept_md5"))
 
 
@@ -163,13 +163,14 @@ WITH raw AS (
   SELECT doc_id, no, line, trim(regexp_replace(line, '[\x20\x09\x0B-\x0D]+', ' ', 'g'), ' ') AS even
   FROM (SELECT doc_id, unnest(range(0, len(string_split(text, chr(10))))) AS no, unnest(string_split(text, chr(10))) AS line FROM documents)
 ),
-lines AS (SELECT *, string_split(even, ' ') AS w, len(string_split(even, ' ')) AS n FROM raw WHERE len(string_split(even, ' ')) >= 8),
+lines AS (SELECT *, string_split(even, ' ') AS w, len(string_split(even, ' ')) AS n FROM raw WHERE even <> ''),
 first AS (SELECT even, any_value(w) AS w, any_value(n) AS n, min((doc_id, no)) AS place FROM lines GROUP BY even),
+long AS (SELECT * FROM first WHERE n >= 8),
 keys AS (
-  SELECT *, n AS t, 0 AS side, list_slice(w, 1, n // 2) AS half FROM first
-  UNION ALL SELECT *, n, 1, list_slice(w, n // 2 + 1, n) FROM first
-  UNION ALL SELECT *, n - 1, 0, list_slice(w, 1, (n - 1) // 2) FROM first
-  UNION ALL SELECT *, n - 1, 1, list_slice(w, n - (n - 1 - (n - 1) // 2) + 1, n) FROM first
+  SELECT *, n AS t, 0 AS side, list_slice(w, 1, n // 2) AS half FROM long
+  UNION ALL SELECT *, n, 1, list_slice(w, n // 2 + 1, n) FROM long
+  UNION ALL SELECT *, n - 1, 0, list_slice(w, 1, (n - 1) // 2) FROM long
+  UNION ALL SELECT *, n - 1, 1, list_slice(w, n - (n - 1 - (n - 1) // 2) + 1, n) FROM long
 ),
 pairs AS (
   SELECT DISTINCT a.even, a.w AS wa, b.w AS wb FROM keys a JOIN keys b

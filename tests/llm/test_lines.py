@@ -1,8 +1,10 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from cabstand.llm import lines
-from tests.llm.support import odd_rows, prose, table
+from tests.llm.support import clashing, odd_rows, prose, table
 
 
 def near(a, b):
@@ -68,5 +70,23 @@ def test_short_lines_go_if_they_repeat(spark):
     assert got == want
 
 
+def test_blanks_of_every_kind_are_evened_out(spark):
+    line = "one two three four five six seven eight"
+    rows = [(1, line, "en", "a", 1), (2, "  one\ttwo\x0bthree   four\x0c five\rsix seven eight \r\nown", "en", "a", 1), (3, line.replace("six", "6"), "en", "a", 1)]
+    got = {r.doc_id: (r.text, r.n_removed) for r in lines.deduplicated(table(spark, rows), equal_words=1).collect()}
+    assert got == {1: (line, 0), 2: ("own", 1), 3: ("", 1)}
+
+
+def test_columns_of_any_name_pass_through(spark):
+    docs = clashing(table(spark, odd_rows()))
+    for name in ("t_id", "t_text", "k2", "others", "removed", "g1", "parts", "id", "h1", "words", "a.b"):
+        docs = docs.withColumn(name, F.lit(3))
+    plain = {(r.doc_id, r.text) for r in lines.deduplicated(table(spark, odd_rows()), equal_words=1).collect()}
+    left = lines.deduplicated(docs, equal_words=1)
+    assert set(docs.columns) <= set(left.columns)
+    rows = left.collect()
+    assert {(r.doc_id, r.text) for r in rows} == plain and all(r["a.b"] == r["t_id"] == 3 and r["key"] == "x" for r in rows)
+
+
 def test_empty(spark):
     assert lines.deduplicated(table(spark, [])).count() == 0
