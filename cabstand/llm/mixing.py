@@ -76,19 +76,22 @@ def mixed_copies(
     text: str = "text",
     broadcast_rows: int = 50_000,
 ) -> DataFrame:
-    """``docs`` with each row as often as drawn, in random order, and ``copy`` (from 1) and ``shuffle_key``."""
+    """``docs`` with each row as often as drawn, in random order, and ``copy`` (from 1) and ``shuffle_key``, which replace
+    older columns of these names; all others pass through."""
     table = rates(docs, weights, exponent, source, text).select("mix_source", F.col("table").alias("mix_table"))
     if table.count() <= broadcast_rows:
         table = F.broadcast(table)
-    docs = docs.drop("copy", "shuffle_key", "mix_source", "mix_table")
-    drawn = digest(F.lit(seed), F.col(doc_id)) / F.lit(SCALE)
+    names = [name for name in docs.columns if name not in ("copy", "shuffle_key")]
+    row = F.struct(*[F.col(f"`{name}`").alias(f"c{i}") for i, name in enumerate(names)])
+    held = docs.select(row.alias("row"), F.col(f"`{doc_id}`").alias("id"), F.col(f"`{source}`").alias("origin"))
+    drawn = digest(F.lit(seed), F.col("id")) / F.lit(SCALE)
     count = F.size(F.filter("mix_table", lambda below: below <= drawn))
-    names = [F.col(f"`{name}`") for name in docs.columns]
     copies = (
-        docs.join(table, F.col(source).eqNullSafe(F.col("mix_source")))
+        held.join(table, F.col("origin").eqNullSafe(F.col("mix_source")))
         .withColumn("mix_count", count)
         .where(F.col("mix_count") > 0)
-        .select(*names, F.explode(F.sequence(F.lit(1), F.col("mix_count"))).alias("copy"))
+        .select("row", "id", F.explode(F.sequence(F.lit(1), F.col("mix_count"))).alias("copy"))
     )
-    keyed = copies.withColumn("shuffle_key", digest(F.lit(seed), F.col(doc_id), F.col("copy")))
-    return keyed.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    keyed = copies.withColumn("shuffle_key", digest(F.lit(seed), F.col("id"), F.col("copy"))).drop("id")
+    mixed = keyed.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    return mixed.select(*[F.col(f"row.c{i}").alias(name) for i, name in enumerate(names)], "copy", "shuffle_key")

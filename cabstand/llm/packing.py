@@ -13,6 +13,7 @@ they occur; documents with equal lengths are placed in the order of a hash of th
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -34,7 +35,8 @@ def encoder(ranks: str, vocabulary: str, pattern: str):
     """A function from text to token ids.
 
     The rank file states the same vocabulary as the tokenizer file and is read by a library that is about eight times
-    as fast. Where that one gives up (a run of white space too long for its matcher), the tokenizer file decides.
+    as fast. Where that one gives up (a run of white space too long for its matcher), and for texts that spell out one of the
+    tokens added to the vocabulary, the tokenizer file decides.
     """
     import tiktoken
     from tokenizers import Tokenizer
@@ -43,13 +45,15 @@ def encoder(ranks: str, vocabulary: str, pattern: str):
         merges = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
     fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=merges, special_tokens={})
     slow = Tokenizer.from_file(vocabulary)
-    slow.encode_special_tokens = True
+    added = re.compile("|".join(re.escape(token.content) for token in slow.get_added_tokens_decoder().values()) or "(?!)")
 
     def encode(text: str) -> np.ndarray:
-        try:
-            return fast.encode_to_numpy(text, disallowed_special=())
-        except ValueError:
-            return np.asarray(slow.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+        if not added.search(text):
+            try:
+                return fast.encode_to_numpy(text, disallowed_special=())
+            except ValueError:
+                pass
+        return np.asarray(slow.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
     return encode
 

@@ -106,9 +106,9 @@ def normal_lines(body: Column) -> Column:
 
 def shared_lines(docs: DataFrame, host: str = "source", text: str = "text", limits: Limits = Limits()) -> DataFrame:
     """(host, text key, hashes of its lines above the limit, words in them), for the texts that have such lines."""
-    body = F.col(text).cast("string")
+    body, origin = F.col(f"`{text}`").cast("string"), F.col(f"`{host}`")
     texts = docs.where(body.isNotNull()).select(
-        F.col(host).alias("host"), text_key(body).alias("key"), normal_lines(body).alias("lines")
+        origin.alias("host"), text_key(body).alias("key"), normal_lines(body).alias("lines")
     )
     lines = texts.select("host", "key", F.explode(F.filter("lines", lambda line: line != "")).alias("line")).select(
         "host", "key", F.xxhash64("line").alias("line"), F.size(F.split("line", " ")).alias("words")
@@ -116,7 +116,7 @@ def shared_lines(docs: DataFrame, host: str = "source", text: str = "text", limi
     # One row per text and line, with all words that the line has in this text.
     lines = lines.groupBy("host", "line", "key").agg(F.sum("words").alias("words"), F.count("*").alias("times"))
     # Copies of a text share a key and are one text; their rows were added up and are divided again.
-    copies = docs.where(body.isNotNull()).groupBy(F.col(host).alias("host"), text_key(body).alias("key")).agg(F.count("*").alias("copies"))
+    copies = docs.where(body.isNotNull()).groupBy(origin.alias("host"), text_key(body).alias("key")).agg(F.count("*").alias("copies"))
     hosts = copies.groupBy("host").agg(F.count("*").alias("texts"))
     counted = lines.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= limits.min_texts)
     above = (
@@ -139,9 +139,16 @@ def shared_lines(docs: DataFrame, host: str = "source", text: str = "text", limi
     )
 
 
-def _joined(docs: DataFrame, shared: DataFrame, host: str) -> DataFrame:
-    return docs.join(
-        shared, F.col(host).eqNullSafe(F.col("shared_host")) & (F.col("_key") == F.col("shared_key")), "left"
+def _held(docs: DataFrame, host: str, text: str, without_text: bool) -> tuple[DataFrame, list[str]]:
+    """Host and text under names of their own, all other columns in one struct, whatever they are called."""
+    names = [name for name in docs.columns if not (without_text and name == text)]
+    row = F.struct(*[F.col(f"`{name}`").alias(f"c{i}") for i, name in enumerate(names) if name != text] or [F.lit(0).alias("none")])
+    return docs.select(row.alias("row"), F.col(f"`{host}`").alias("host"), F.col(f"`{text}`").alias("text")), names
+
+
+def _joined(held: DataFrame, shared: DataFrame) -> DataFrame:
+    return held.join(
+        shared, F.col("host").eqNullSafe(F.col("shared_host")) & (F.col("_key") == F.col("shared_key")), "left"
     ).drop("shared_host", "shared_key", "_key")
 
 
@@ -151,21 +158,31 @@ def _kept(limits: Limits) -> Column:
     return F.coalesce("shared_words", F.lit(0)) <= most
 
 
+#: What :func:`verdicts` adds; older columns of these names give way.
+ADDED = ("signals", "shared_words", "kept")
+
+
 def verdicts(docs: DataFrame, host: str = "source", text: str = "text", limits: Limits = Limits()) -> DataFrame:
     """``docs`` without its text, with the signals, the words in shared lines and ``kept``."""
-    slim = with_signals(docs, text, limits).withColumn("_key", text_key(F.col(text).cast("string"))).drop(text)
-    judged = _joined(slim, shared_lines(docs, host, text, limits), host)
-    return judged.withColumn("kept", _kept(limits)).withColumn("shared_words", F.coalesce("shared_words", F.lit(0))).drop("shared_lines")
+    held, names = _held(docs, host, text, True)
+    slim = with_signals(held, "text", limits).withColumn("_key", text_key(F.col("text").cast("string"))).drop("text")
+    judged = _joined(slim, shared_lines(docs, host, text, limits)).withColumn("kept", _kept(limits))
+    return judged.select(
+        *[F.col(f"row.c{i}").alias(name) for i, name in enumerate(names) if name not in ADDED],
+        "signals",
+        F.coalesce("shared_words", F.lit(0)).alias("shared_words"),
+        "kept",
+    )
 
 
 def cleaned(docs: DataFrame, host: str = "source", text: str = "text", limits: Limits = Limits()) -> DataFrame:
     """The documents that pass, without the lines above the limit."""
-    names = [*docs.columns]
-    keyed = with_signals(docs, text, limits).withColumn("_key", text_key(F.col(text).cast("string")))
-    kept = _joined(keyed, shared_lines(docs, host, text, limits), host).where(_kept(limits))
+    held, names = _held(docs, host, text, False)
+    keyed = with_signals(held, "text", limits).withColumn("_key", text_key(F.col("text").cast("string")))
+    kept = _joined(keyed, shared_lines(docs, host, text, limits)).where(_kept(limits))
     # Lines and their hashes are zipped, not indexed: an array that a lambda names is worked out again for each element.
-    hashes = F.transform(normal_lines(F.col(text)), lambda line: F.xxhash64(line))
-    own = F.zip_with(F.split(F.col(text), "\n"), hashes, lambda line, h: F.when(~F.array_contains("shared_lines", h), line))
+    hashes = F.transform(normal_lines(F.col("text")), lambda line: F.xxhash64(line))
+    own = F.zip_with(F.split(F.col("text"), "\n"), hashes, lambda line, h: F.when(~F.array_contains("shared_lines", h), line))
     left = F.filter(own, lambda line: line.isNotNull())
-    body = F.when(F.col("shared_lines").isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
-    return kept.select(*[body.alias(text) if name == text else F.col(f"`{name}`") for name in names])
+    body = F.when(F.col("shared_lines").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
+    return kept.select(*[body.alias(text) if name == text else F.col(f"row.c{i}").alias(name) for i, name in enumerate(names)])

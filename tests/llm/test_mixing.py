@@ -69,3 +69,16 @@ def test_large_mean(spark):
 
 def test_empty(spark):
     assert mixing.mixed_copies(table(spark, [])).count() == 0
+
+
+def test_columns_of_any_name_pass_through(spark):
+    from pyspark.sql import functions as F
+
+    docs = table(spark)
+    for name in ("mix_source", "mix_table", "mix_count", "id", "origin", "row", "copy", "shuffle_key", "a.b"):
+        docs = docs.withColumn(name, F.lit("x"))
+    mixed = mixing.mixed_copies(docs)
+    assert set(mixed.columns) == set(docs.columns)
+    rows = mixed.collect()
+    assert rows and all(r["mix_count"] == r["mix_source"] == r["a.b"] == "x" and r["copy"] >= 1 for r in rows)
+    assert len(rows) == mixing.mixed_copies(table(spark)).count()

@@ -11,7 +11,6 @@ from tests.llm.support import clashing, odd_rows, table
 
 def expected(rows, capacity):
     tokenizer = Tokenizer.from_file(byte_bpe()[1])
-    tokenizer.encode_special_tokens = True
     out = []
     for row in rows:
         ids = np.array([*tokenizer.encode(row[1] or "", add_special_tokens=False).ids, 2], dtype="<u4")
@@ -36,6 +35,15 @@ def check(spark, rows, capacity, block=65_536):
     return len(held), sum(r.length for r in packed)
 
 
+def test_added_tokens_in_a_text(spark):
+    tokenizer = Tokenizer.from_file(byte_bpe()[1])
+    added = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
+    assert added
+    rows = [(i, f"a {token} b{token}{token}\n<|other|>", "en", "a", 1) for i, token in enumerate(added)] + [(90, added[0], "en", "a", 1)]
+    check(spark, rows, 1024)
+    assert len(tokenizer.encode(added[0], add_special_tokens=False).ids) == 1
+
+
 def test_round_trip(spark):
     sequences, tokens = check(spark, odd_rows(), 1024)
     assert sequences - 1 <= -(-tokens // 1024) + 1

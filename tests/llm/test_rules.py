@@ -1,6 +1,8 @@
 import re
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from cabstand.llm import rules
 from tests.llm.support import clashing, odd_rows, table
 
@@ -46,9 +48,15 @@ def test_shared_lines_go_and_depleted_documents_too(spark):
 
 
 def test_odd_rows_and_empty(spark):
-    docs = clashing(table(spark)).drop("signals", "kept")
+    docs = clashing(table(spark))
+    for name in ("shared_key", "shared_lines", "shared_host", "_key", "_body", "host", "row", "c0", "a.b"):
+        docs = docs.withColumn(name, F.lit(3))
     kept = rules.cleaned(docs)
     assert kept.columns == docs.columns
+    assert all(r["a.b"] == r["_key"] == 3 and r["signals"] == r["kept"] == "x" for r in kept.collect())
+    judged = rules.verdicts(docs)
+    assert set(judged.columns) == (set(docs.columns) - {"text"}) | {"signals", "shared_words", "kept"}
+    assert {r["kept"] for r in judged.collect()} == {True, False}
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted(
         (r[0] for r in odd_rows() if not signals(r[1])[-1]), key=str
     )
