@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -10,7 +11,7 @@ from cabstand import quality
 from cabstand.functions import clock
 from cabstand.operators import columns, filters, routing, summary
 from cabstand.quality.rules import Suite
-from cabstand.sources import files as file_sources, snapshots, tables
+from cabstand.sources import files as file_sources, footers, snapshots, tables
 from cabstand.specs import ROUTE_COMMENTS, SUMMARY_COLUMNS, SUMMARY_COMMENTS, DatasetSpec
 
 
@@ -125,11 +126,12 @@ def run_full(
 
     With a ``suite`` all rows are validated first, and nothing is written below the ``threshold``.
 
-    All schema groups are united first and summarised once, so a key and month that spans groups is
-    one row. The summary covers everything; trips are kept for the recent months.
+    Files whose schemas one read can widen to a common one are one scan. All scans are united first and summarised once,
+    so a key and month that spans them is one row. The summary covers everything; trips are kept for the recent
+    months, and of files that the ranges in their footers place before those, none is opened.
     """
-    groups = file_sources.drift_groups(manifest)
-    rows = file_sources.read_groups(spark, groups, spec.columns)
+    groups = footers.compatible_groups(manifest, list(spec.columns))
+    rows = footers.read_compatible(spark, groups, spec.columns)
     if suite is not None:
         validate(rows, suite, threshold, as_of, results_path)
     table = summary_table(rows, spec, busiest_scope)
@@ -139,7 +141,12 @@ def run_full(
     def recent_files(df: DataFrame) -> DataFrame:
         return filters.in_recent_months(df, spec.start, spec.recent_months, as_of) if _has_times(df, spec.start) else df
 
-    recent = file_sources.read_groups(spark, groups, spec.columns, keep=recent_files)
+    # Files whose footers rule the recent months out are not opened; the first of the month is early enough for any day of it.
+    oldest = clock.month_bounds(as_of)[0]
+    for _ in range(spec.recent_months):
+        oldest = clock.month_bounds(oldest - dt.timedelta(days=1))[0]
+    may_be_recent = footers.files_between(footers.row_group_ranges(manifest, spec.start), oldest)
+    recent = footers.read_compatible(spark, footers.only_files(groups, may_be_recent), spec.columns, keep=recent_files)
     recent = filters.in_recent_months(recent, spec.start, spec.recent_months, as_of)
     marked = trip_table(recent, spec, as_of, null_policy)
     trips_sink = (out.trips, spec.start, spec.cluster_rows, f"trips-{spec.name}-full")
