@@ -10,8 +10,8 @@ from cabstand.functions.messages import to_message
 from cabstand.operators import routing, summary
 from cabstand.plans import features, load
 from cabstand.session import scratch
-from cabstand.sources import costs, files, snapshots, tables
-from cabstand.specs import ROUTE_COMMENTS, SUMMARY_COMMENTS, TRIP_COMMENTS, YELLOW
+from cabstand.sources import costs, files, footers, snapshots, tables
+from cabstand.specs import ROUTE_COMMENTS, SUMMARY_COMMENTS, TRIP_COLUMNS, TRIP_COMMENTS, YELLOW
 from cabstand.streaming import ingest
 
 _ROUTED = f"""SELECT *, CASE WHEN {RULES_SQL} THEN 'clean' ELSE 'triage' END AS route,
@@ -174,3 +174,42 @@ def a28_described(spark, sf):
             texts = texts.unionByName(spark.createDataFrame([(routing.ROUTE, ROUTE_COMMENTS[routing.ROUTE])], texts.schema))
         parts.append(texts.select(F.lit(name).alias("table"), "column", "comment", F.lit(rows.count()).alias("rows")))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query(
+    "a5_b5_zone_map",
+    """WITH months AS (SELECT strftime(o_orderdate, '%Y%m') AS part_month, count(*) AS rows, min(o_orderdate) AS low, max(o_orderdate) AS high
+                     FROM orders GROUP BY 1)
+       SELECT part_month, CAST(rows AS BIGINT) AS rows, low, high,
+              high >= TIMESTAMP '1996-05-15' AND low < TIMESTAMP '1997-02-01' AS may_hold FROM months""",
+)
+def a5_zone_map(spark, sf):
+    """Ranges of the order dates from the footers of monthly files, and which files may hold days of a window: no row is read."""
+    folder = scratch(spark, "orders")
+    tables.overwrite_months(table(spark, sf, "orders"), folder, "o_orderdate")
+    ranges = footers.row_group_ranges(files.manifest(spark, folder), "o_orderdate")
+    may = footers.files_between(ranges, "1996-05-15", "1997-02-01").withColumn("may", F.lit(True))
+    month = F.regexp_extract("link", f"{tables.PART}=([0-9]+)", 1).alias("part_month")
+    by_month = ranges.join(may, "link", "left").groupBy(month).agg(
+        F.sum("rows").alias("rows"), F.min("low").alias("low"), F.max("high").alias("high"), F.count_if("may").alias("files")
+    )
+    return by_month.select("part_month", "rows", "low", "high", (F.col("files") > 0).alias("may_hold"))
+
+
+@query(
+    "a6_a7_compatible_reads",
+    f"""WITH {TRIPS_SQL}, drifted AS (SELECT * REPLACE (CASE WHEN VendorID = 1 THEN NULL ELSE airport_fee END AS airport_fee,
+            CASE WHEN VendorID = 3 THEN CAST(0 AS DOUBLE) ELSE mta_tax END AS mta_tax) FROM trips)
+        SELECT VendorID, {facts_sql(TRIP_FACTS)}, CAST(2 AS BIGINT) AS scans FROM drifted GROUP BY VendorID""",
+)
+def a7_compatible(spark, sf):
+    """Files of four schemas, of which one is in real conflict with another: two scans, every column."""
+    folder = scratch(spark, "drifting")
+    rows, vendor = raw_trips(spark, sf), F.col("VendorID")
+    rows.where(vendor == 0).write.parquet(f"{folder}/a")
+    rows.where(vendor == 1).drop("airport_fee").write.parquet(f"{folder}/b")
+    rows.where(vendor == 2).withColumn("VendorID", vendor.cast("int")).write.parquet(f"{folder}/c")
+    rows.where(vendor == 3).withColumn("mta_tax", F.lit(0).cast("long")).write.parquet(f"{folder}/d")
+    groups = footers.compatible_groups(files.manifest(spark, folder), list(TRIP_COLUMNS))
+    together = footers.read_compatible(spark, groups, TRIP_COLUMNS)
+    return facts_by(together, ("VendorID",), TRIP_FACTS).withColumn("scans", F.lit(len(groups)).cast("long"))
