@@ -13,7 +13,7 @@ from cabstand.catalog.scalars import FEATURES_SQL
 from cabstand.operators import joins
 from cabstand.plans import features
 from cabstand.plans.load import validate
-from cabstand.quality import run, suites
+from cabstand.quality import run, states, suites
 from cabstand.quality.rules import Rule, Suite, suite_from_json
 from cabstand.session import scratch
 from cabstand.sources import tables
@@ -318,3 +318,23 @@ def feature_suite(spark, sf):
     folder = scratch(spark, "features")
     features.build_features(spark, trips(spark, sf), zones(spark, sf), folder)
     return shown(quality.evaluate(tables.read_months(spark, folder), suites.FEATURES, AS_OF))
+
+
+@query("i_a27_merged_ingest_suite", INGEST_SQL)
+def merged_ingest(spark, sf):
+    """The ingest suite from what months have contributed in two runs, the second of which reads the new months alone."""
+    folder = scratch(spark, "states")
+    rows = tables.with_month(trips(spark, sf), "tpep_pickup_datetime")
+    states.update(spark, rows.where(F.col(tables.PART) < "199901"), suites.INGEST, folder, AS_OF)
+    new = states.missing_months(spark, folder, [r[0] for r in rows.select(tables.PART).distinct().collect()])
+    states.keep(rows.where(F.col(tables.PART).isin(new)), suites.INGEST, folder)
+    return shown(states.merged(states.read(spark, folder), rows.drop(tables.PART), suites.INGEST, AS_OF))
+
+
+@query("i10_i13_merged_staging_suite", STAGING_SQL)
+def merged_staging(spark, sf):
+    """Rules on deviations, distinct values and recency, merged from months."""
+    folder = scratch(spark, "states")
+    rows = tables.with_month(trips(spark, sf), "tpep_pickup_datetime")
+    states.keep(rows, suites.STAGING, folder)
+    return shown(states.merged(states.read(spark, folder), rows.drop(tables.PART), suites.STAGING, AS_OF))
