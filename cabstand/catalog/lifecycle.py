@@ -213,3 +213,14 @@ def a7_compatible(spark, sf):
     groups = footers.compatible_groups(files.manifest(spark, folder), list(TRIP_COLUMNS))
     together = footers.read_compatible(spark, groups, TRIP_COLUMNS)
     return facts_by(together, ("VendorID",), TRIP_FACTS).withColumn("scans", F.lit(len(groups)).cast("long"))
+
+
+@query(
+    "i11_d4_footer_extremes",
+    """SELECT count(*) AS rows, count(l_orderkey) AS n_l_orderkey, min(l_orderkey) AS low_l_orderkey, max(l_orderkey) AS high_l_orderkey,
+              count(l_quantity) AS n_l_quantity, min(l_quantity) AS low_l_quantity, max(l_quantity) AS high_l_quantity FROM lineitem""",
+)
+def i11_extremes(spark, sf):
+    """Counts and extremes of line items out of the footers, without reading a row."""
+    row, _ = footers.extremes(spark, [f"{sf}/lineitem.parquet"], ["l_orderkey", "l_quantity"])
+    return row

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -71,6 +72,41 @@ def files_between(ranges: DataFrame, start: clock.Moment | None = None, end: clo
     return ranges.where(~F.col("known") | F.coalesce(may, F.lit(False))).select("link").distinct()
 
 
+@contextmanager
+def _footer_reader(spark: SparkSession) -> Iterator[None]:
+    """The second parquet reader, which answers counts and extremes from footers; it is off by default."""
+    plain = spark.conf.get("spark.sql.sources.useV1SourceList")
+    before = {name: spark.conf.get(name) for name in ("spark.sql.parquet.aggregatePushdown", "spark.sql.sources.useV1SourceList")}
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    spark.conf.set("spark.sql.sources.useV1SourceList", ",".join(name for name in plain.split(",") if name != "parquet"))
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+#: Types whose extremes the reader takes from footers; others would be read row by row.
+PUSHED = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DateType, T.BooleanType)
+
+
+def extremes(spark: SparkSession, links: Sequence[str], columns: Sequence[str]) -> tuple[DataFrame, str]:
+    """Number of rows, and values, least and greatest of each column as one row; and the plan that gave them.
+
+    Numbers, days and truth values come out of the footers, without a row being read; columns of other types are read.
+    The result is computed here, one row, since the reader's settings hold for this query alone.
+    """
+    with _footer_reader(spark):
+        files = spark.read.parquet(*links)
+        measures = [F.count("*").alias("rows")]
+        for name in columns:
+            measures += [F.count(name).alias(f"n_{name}"), F.min(name).alias(f"low_{name}"), F.max(name).alias(f"high_{name}")]
+        found = files.agg(*measures)
+        plan = found._jdf.queryExecution().toString()
+        row = found.first()
+    return spark.createDataFrame([row], found.schema), plan
+
+
 # Stored types and the type that a read gives them.
 READ_AS = {
     "bool": "boolean", "int8": "int", "int16": "int", "int32": "int", "int64": "bigint", "float": "float", "double": "double",

@@ -101,3 +101,20 @@ def test_a_refresh_without_recent_files_gives_an_empty_trip_table(spark, folder)
     out = load.Outputs(folder + "/s", folder + "/t")
     report = load.run_full(spark, YELLOW, files.manifest(spark, folder + "/raw"), out, "2025-01-01")
     assert (report.summary_rows, report.trip_rows) == (1, 0)
+
+
+def test_extremes_come_from_footers(spark, folder):
+    trips(spark, at(1), {**at(2), "fare_amount": 80.5, "passenger_count": None}, at(3)).repartition(2).write.parquet(folder + "/t")
+    columns = ["fare_amount", "passenger_count", "PULocationID"]
+    row, plan = footers.extremes(spark, [folder + "/t"], columns)
+    assert "PushedAggregation: [" in plan and "MAX(fare_amount)" in plan and "FileScan" not in plan.split("== Physical Plan ==")[1]
+    table = spark.read.parquet(folder + "/t")
+    want = table.selectExpr("count(*) AS rows", *[f"{f}({c}) AS {label}_{c}" for c in columns for f, label in (("count", "n"), ("min", "low"), ("max", "high"))])
+    assert row.columns == want.columns and row.first() == want.first()
+    assert "FileScan parquet" in plan_of(table)  # the session reads as before
+
+
+def test_extremes_of_other_types_are_read(spark, folder):
+    trips(spark, at(1), at(3)).write.parquet(folder + "/t")
+    row, plan = footers.extremes(spark, [folder + "/t"], ["tpep_pickup_datetime"])
+    assert row.first()["high_tpep_pickup_datetime"] == at(3)["tpep_pickup_datetime"] and "PushedAggregation: []" in plan
