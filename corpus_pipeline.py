@@ -26,6 +26,18 @@ def _counted(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.char_length("text").cast(kind)) if kind else docs
 
 
+def _folded(docs: DataFrame, *named: str) -> DataFrame:
+    """The named columns, all others in one struct: what an operator adds can't meet one of theirs."""
+    others = [F.col(f"`{name}`").alias(f"c{i}") for i, name in enumerate(docs.columns) if name not in named]
+    return docs.select(*named, F.struct(*others or [F.lit(0).alias("none")]).alias("row"))
+
+
+def _unfolded(df: DataFrame, docs: DataFrame, *named: str) -> DataFrame:
+    """The columns of ``docs`` again, in their order; the named ones as the operator left them."""
+    own = [F.col(name) if name in named else F.col(f"row.c{i}").alias(name) for i, name in enumerate(docs.columns)]
+    return df.select(*own)
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules, without lines that too many texts of their source share."""
     return _counted(rules.cleaned(docs))
@@ -33,9 +45,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that repeat an earlier one; a document goes if only blank lines are left of it."""
-    left = lines.deduplicated(docs, MIN_WORDS, equal_words=EQUAL_WORDS)
+    left = lines.deduplicated(_folded(docs, "doc_id", "text"), MIN_WORDS, equal_words=EQUAL_WORDS)
     own = (F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    return _counted(left.where(own).select(docs.columns))
+    return _counted(_unfolded(left.where(own), docs, "doc_id", "text"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +57,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as drawn, sources weighed by the square root of their size, in random order."""
-    return mixing.mixed_copies(docs).select(docs.columns)
+    named = ("doc_id", "text", "source")
+    return _unfolded(mixing.mixed_copies(_folded(docs, *named)), docs, *named)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
