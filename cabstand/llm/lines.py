@@ -71,7 +71,10 @@ def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 def _lines(texts: DataFrame, least: int, whole: int) -> DataFrame:
     """One row per line: where it is, two hashes that name it, its length and, from ``whole`` words on, the four half keys."""
     rows = texts.select("t_id", "k1", "k2", F.posexplode(even_lines(F.col("t_text"))).alias("no", "line"))
-    rows = rows.withColumn("words", F.split("line", " ")).withColumn("n", F.size("words")).where((F.col("n") >= least) & (F.col("line") != ""))
+    rows = rows.where(F.col("line") != "")
+    rows = rows.withColumn("words", F.split("line", " ")).withColumn("n", F.size("words"))
+    if least > 1:
+        rows = rows.where(F.col("n") >= least)
     keys = [F.when(F.col("n") >= whole, key["key"]).alias(f"half{i}") for i, key in enumerate(halves(F.col("words"), F.col("n")))]
     return rows.select(*PLACE, F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2"), "n", *keys)
 
@@ -108,6 +111,10 @@ def _needed(first: DataFrame) -> DataFrame:
     )
 
 
+def _exclusive_or(column: str) -> Column:
+    return F.aggregate(column, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x))
+
+
 def _scanned(df: DataFrame, column: str) -> DataFrame:
     """Running exclusive-or of an array of longs, by doubling steps."""
     for k in range(SCAN_STEPS):
@@ -137,13 +144,16 @@ def _variants(wanted: DataFrame, texts: DataFrame) -> DataFrame:
         .withColumn("n", F.size("words"))
         .withColumn("at", F.transform("words", lambda word, i: F.xxhash64(word, i)))
         .withColumn("shifted", F.transform("words", lambda word, i: F.xxhash64(word, i - 1)))
-        .withColumn("xor_at", F.col("at"))
-        .withColumn("xor_shifted", F.col("shifted"))
+        .withColumn("all_at", _exclusive_or("at"))
+        .withColumn("all_shifted", _exclusive_or("shifted"))
+        # Running values are needed only where a word is left out of a longer line.
+        .withColumn("xor_at", F.when((F.col("cut_front") == 1) | (F.col("cut_back") == 1), F.col("at")).otherwise(F.array().cast("array<bigint>")))
+        .withColumn("xor_shifted", F.when((F.col("cut_front") == 1) | (F.col("cut_back") == 1), F.col("shifted")).otherwise(F.array().cast("array<bigint>")))
     )
     rows = _scanned(_scanned(rows, "xor_at"), "xor_shifted")
     zero = F.lit(0).cast("long")
     before = lambda column, i: F.coalesce(F.get(column, i), zero)
-    all_at, all_shifted = F.get("xor_at", F.col("n") - 1), F.get("xor_shifted", F.col("n") - 1)
+    all_at, all_shifted = F.col("all_at"), F.col("all_shifted")
     variant = lambda n, hash_, place, role: F.struct(
         n.cast("int").alias("n"), hash_.alias("hash"), place.cast("int").alias("place"), F.lit(role).alias("role")
     )

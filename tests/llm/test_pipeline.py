@@ -69,6 +69,22 @@ def test_query_against_sql(spark, sf, name):
     assert differences == []
 
 
-def test_ten_operators():
-    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 11))
+def test_thirteen_operators():
+    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 14))
     assert set(QUERIES) <= set(entry.queries())
+
+
+def test_columns_of_any_name_pass_through_every_stage(spark, folder):
+    from pyspark.sql import functions as F
+
+    docs = table(spark, odd_rows())
+    extra = ("n_removed", "n_lines", "removed", "signals", "kept", "shared_key", "_key", "own_id", "_again", "copy", "shuffle_key", "mix_count", "mix_source", "row", "k1", "class_id", "a.b")
+    for name in extra:
+        docs = docs.withColumn(name, F.lit("x"))
+    names, rows = docs.columns, None
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        stage(spark, docs, "").write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+        assert docs.columns == names
+        rows = docs.collect()
+        assert rows and all(r[column] == "x" for r in rows for column in extra)
