@@ -217,7 +217,7 @@ def test_staged_errors_equal_separate_fits(spark):
 
     rows = [(float(i % 13), float(i * 7 % 11), 3.0 + i % 13 + (i * 7 % 11) * (i % 3), i % 3) for i in range(300)]
     table = spark.createDataFrame(rows, "distance double, passengers double, fare_amount double, fold int")
-    grid = {"maxDepth": (2, 3), "maxIter": (2, 5, 9), "minInstancesPerNode": (3, 30)}
+    grid = {"maxDepth": (2, 3), "maxIter": (2, 5), "minInstancesPerNode": (3, 30)}
     pipeline = fare_model.estimator(["distance", "passengers"])
     separate = CrossValidator(
         estimator=pipeline, estimatorParamMaps=fare_model.param_grid(pipeline, grid), numFolds=3, foldCol="fold", parallelism=4,
@@ -229,7 +229,7 @@ def test_staged_errors_equal_separate_fits(spark):
     }
     folds = fare_model.stored_folds(table, pipeline.getStages()[0], "fare_amount")
     staged = fare_model.staged_search(folds, grid)
-    assert len(staged) == len(wanted) == 12 and len({round(s.error, 6) for s in staged}) > 4
+    assert len(staged) == len(wanted) == 8 and len({round(s.error, 6) for s in staged}) > 4
     for setting in staged:
         assert setting.error == pytest.approx(wanted[tuple(sorted(setting.params.items()))], rel=1e-9)
 
