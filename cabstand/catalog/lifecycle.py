@@ -63,6 +63,19 @@ def j1_merged(spark, sf):
     return _by_route(snapshots.read(spark, out)).withColumn("one_folder_each", F.lit(one))
 
 
+def _records(rows):
+    """Rows as records of a topic with three partitions, in the connector's columns.
+
+    Every task numbers the messages it has, of whichever partition: offsets are unique and rise within a file, and have gaps,
+    as those of a compacted topic. No task has to hold a partition of the topic.
+    """
+    lane = F.pmod(F.xxhash64("value"), F.lit(3)).cast("int")
+    return to_message(rows).select(
+        F.lit("trips").alias("topic"), lane.alias("partition"), F.monotonically_increasing_id().alias("offset"),
+        F.col("value").cast("binary").alias("value"),
+    )
+
+
 @query(
     "a15_topic_positions",
     f"""WITH {TRIPS_SQL}, routed AS ({_ROUTED} FROM trips)
@@ -71,12 +84,7 @@ def j1_merged(spark, sf):
 def a15_positions(spark, sf):
     """Trips as records of a topic with three partitions, read twice with different checkpoints: nothing comes twice."""
     folder = scratch(spark, "topic")
-    lane = F.pmod(F.xxhash64("value"), F.lit(3)).cast("int")
-    numbered = to_message(trips(spark, sf)).withColumn("partition", lane).repartition(3, "partition").sortWithinPartitions("value")
-    # Offsets have gaps between files of the table, as a compacted topic has them.
-    offset = F.monotonically_increasing_id()
-    records = numbered.select(F.lit("trips").alias("topic"), "partition", offset.alias("offset"), F.col("value").cast("binary").alias("value"))
-    records.write.parquet(f"{folder}/topic")
+    _records(trips(spark, sf)).write.option("compression", "zstd").parquet(f"{folder}/topic")
     for state in ("first", "second"):
         stream = spark.readStream.schema("topic string, partition int, offset long, value binary").parquet(f"{folder}/topic")
         ingest.start_snapshot_ingest(ingest.positioned(stream), YELLOW, f"{folder}/trips", f"{folder}/{state}", AS_OF, once=True).awaitTermination()

@@ -13,7 +13,7 @@ from cabstand.plans import load
 from cabstand.sources import snapshots, tables
 from cabstand.specs import YELLOW
 from cabstand.streaming import ingest
-from tests.support import rows_of, trips
+from tests.support import plan_of, rows_of, trips
 
 
 AS_OF = "2023-06-01"
@@ -233,3 +233,14 @@ def test_merged_files_are_clustered_and_few(spark, folder):
     order = [r["PULocationID"] for r in table.collect()]
     assert order == sorted(order) and len(order) == 8
     assert tables.PART in table.columns
+
+
+def test_records_of_a_topic_are_numbered_without_gathering_a_partition(spark):
+    from cabstand.catalog import lifecycle
+
+    rows = trips(spark, *[{"fare_amount": float(i)} for i in range(60)]).repartition(6).localCheckpoint()
+    records = lifecycle._records(rows)
+    assert "Exchange" not in plan_of(records)
+    found = rows_of(records.select("partition", "offset", "value"))
+    assert len(found) == len({at[:2] for at in found}) == len({at[2] for at in found}) == 60
+    assert {at[0] for at in found} == {0, 1, 2}
