@@ -55,9 +55,18 @@ def publish(df: DataFrame, servers: str, topic: str) -> None:
     to_message(df).write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
 
 
+#: Messages in one file. A compressed text can't be split, so this bounds what a task has to read.
+MESSAGES_PER_FILE = 100_000
+
+
+def write_messages(messages: DataFrame, folder: str) -> None:
+    """One column of texts as lines of compressed files: names repeat in every message and take up most of it."""
+    messages.write.mode("append").option("compression", "gzip").option("maxRecordsPerFile", MESSAGES_PER_FILE).text(folder)
+
+
 def publish_files(df: DataFrame, folder: str) -> None:
     """The same messages as text files, for a file stream."""
-    to_message(df).write.mode("append").text(folder)
+    write_messages(to_message(df), folder)
 
 
 def decoded(messages: DataFrame, columns: Mapping[str, str], unknown_fields: str = "reject") -> DataFrame:

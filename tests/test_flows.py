@@ -331,3 +331,13 @@ def test_airport_distances_are_not_worked_out_per_trip(spark, folder):
     assert "ASIN" not in top.upper()
     assert clock.DATE_PARTS[0] in top
     assert glob.glob(folder + "/t/*.parquet")
+
+
+def test_published_files_are_small_and_hold_every_message(spark, folder, monkeypatch):
+    monkeypatch.setattr(ingest, "MESSAGES_PER_FILE", 100)
+    rows = trips(spark, *[{"fare_amount": float(i)} for i in range(400)]).coalesce(1)
+    ingest.publish_files(rows, folder)
+    files = [os.path.join(folder, name) for name in os.listdir(folder) if name.startswith("part-")]
+    texts = [row["value"] for row in spark.read.text(folder).collect()]
+    assert sorted(texts) == [at[0] for at in rows_of(ingest.to_message(rows))]
+    assert len(files) == 4 and 5 * sum(map(os.path.getsize, files)) < sum(map(len, texts))
