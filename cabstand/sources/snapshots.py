@@ -16,7 +16,9 @@ import json
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cabstand.functions import clock
@@ -101,11 +103,11 @@ def _schema(df: DataFrame, parts: Sequence[str]) -> str:
 
 def stage(
     df: DataFrame, path: str, date_column: str, cluster: Sequence[str] = (), label: str | None = None,
-    extra_partitions: Sequence[str] = (), version: str | None = None,
+    extra_partitions: Sequence[str] = (), version: str | None = None, gathered: bool = False,
 ) -> tuple[Written, dict[str, str], str]:
     """Write rows into folders that no list names yet: (what was written, folder by month, schema). The same ``version`` is overwritten."""
     version = version or uuid.uuid4().hex
-    written = tables.overwrite_months(df, f"{path}/{VERSION}={version}", date_column, cluster, label, extra_partitions)
+    written = tables.overwrite_months(df, f"{path}/{VERSION}={version}", date_column, cluster, label, extra_partitions, gathered)
     months = {folder.split("/")[0].split("=", 1)[1] for folder in written.partitions}
     parts = (PART, *extra_partitions)
     return written, {m: f"{VERSION}={version}/{PART}={m}" for m in months}, _schema(df, parts)
@@ -171,6 +173,44 @@ def expire(spark: SparkSession, path: str, as_of: clock.Moment | None, days: int
     return gone
 
 
+#: Bytes of stored files that one task of a merge copies.
+BYTES_PER_TASK = 32 << 20
+#: Groups of months that are copied at the same time.
+COPIES_AT_ONCE = 8
+
+
+def month_groups(sizes: Mapping[str, int], tasks: int) -> list[tuple[list[str], int]]:
+    """Months put together for about so many tasks, a task's bytes at most: (months, tasks to read them in)."""
+    per = min(BYTES_PER_TASK, max(1, sum(sizes.values()) // tasks))
+    groups: list[tuple[list[str], int]] = []
+    group, held = [], 0
+    for month in sorted(sizes):
+        group, held = [*group, month], held + sizes[month]
+        if held >= per:
+            groups.append((group, max(1, -(-held // BYTES_PER_TASK))))
+            group, held = [], 0
+    return [*groups, (group, 1)] if group else groups
+
+
+def _copied(spark: SparkSession, path: str, state: Snapshot, date_column: str, cluster: Sequence[str], extra_partitions: Sequence[str]) -> dict[str, str]:
+    """Copy the months of a state into a folder each: {month: folder}.
+
+    The files of a month hold nothing else, so tasks that read whole months need no exchange: each group of months is
+    a scan and a write of its own, of few tasks, and several groups run at the same time.
+    """
+    sizes = {m: sum(storage.size(spark, f"{path}/{folder}") for folder in of) for m, of in state.folders.items()}
+
+    @inheritable_thread_target(spark)
+    def copy(group: tuple[list[str], int]) -> dict[str, str]:
+        months, tasks = group
+        rows = read(spark, path, snapshot=replace(state, folders={m: state.folders[m] for m in months})).coalesce(tasks)
+        return stage(rows.drop(PART), path, date_column, cluster, "merge", extra_partitions, gathered=True)[1]
+
+    with ThreadPool(COPIES_AT_ONCE) as pool:
+        found = pool.map(copy, month_groups(sizes, spark.sparkContext.defaultParallelism), chunksize=1)
+    return {month: folder for copies in found for month, folder in copies.items()}
+
+
 def merge(
     spark: SparkSession, path: str, date_column: str, cluster: Sequence[str] = (), extra_partitions: Sequence[str] = (),
     least: int = 2, months: Sequence[str] | None = None,
@@ -185,8 +225,7 @@ def merge(
     crowded = {m: of for m, of in state.folders.items() if len(of) >= least and (months is None or m in months)}
     if not crowded:
         return {}
-    rows = read(spark, path, snapshot=replace(state, folders=crowded))
-    _, copies, _ = stage(rows.drop(PART), path, date_column, cluster, "merge", extra_partitions)
+    copies = _copied(spark, path, replace(state, folders=crowded), date_column, cluster, extra_partitions)
     merged: dict[str, int] = {}
 
     def change(now: Snapshot) -> Snapshot | None:

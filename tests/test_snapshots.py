@@ -244,3 +244,30 @@ def test_records_of_a_topic_are_numbered_without_gathering_a_partition(spark):
     found = rows_of(records.select("partition", "offset", "value"))
     assert len(found) == len({at[:2] for at in found}) == len({at[2] for at in found}) == 60
     assert {at[0] for at in found} == {0, 1, 2}
+
+
+def test_a_merge_copies_whole_months_without_an_exchange(spark, folder, monkeypatch):
+    path, seen = folder + "/t", []
+    snapshots.replace_all(facts(spark, 1, "a"), path, "day")
+    for text in ("b", "c"):
+        _, months, schema = snapshots.stage(facts(spark, 1, text), path, "day")
+        snapshots.switch(spark, path, lambda now: now.appended(months))
+    whole, real = values(snapshots.read(spark, path)), tables.laid_out
+
+    def spied(*args):
+        seen.append(real(*args))
+        return seen[-1]
+
+    monkeypatch.setattr(tables, "laid_out", spied)
+    state = snapshots.present(spark, path)
+    assert snapshots.merge(spark, path, "day") == {m: 3 for m in state.folders}
+    assert seen and not any("Exchange" in plan_of(df) for df in seen)
+    assert values(snapshots.read(spark, path)) == whole
+    assert all(len(of) == 1 for of in snapshots.present(spark, path).folders.values())
+
+
+def test_months_are_grouped_by_bytes():
+    mb = 1 << 20
+    assert snapshots.month_groups({"a": 1, "b": 1, "c": 1, "d": 1}, 2) == [(["a", "b"], 1), (["c", "d"], 1)]
+    assert snapshots.month_groups({"a": 100 * mb, "b": 10 * mb, "c": 30 * mb, "d": 5}, 4) == [(["a"], 4), (["b", "c"], 2), (["d"], 1)]
+    assert snapshots.month_groups({"a": 0}, 4) == [(["a"], 1)]
