@@ -14,7 +14,8 @@ Before that, two cheap keys per length set most lines aside without losing any:
 first half or the second half is equal word for word. Only lines that share such a half spell out their variants, and
 only those with the left-out word in the other half. What variants have joined is verified on the words themselves.
 
-Everything is built from SQL functions. Line contents are not shuffled for this; hashes are, and the texts once.
+Everything is built from SQL functions. Line contents are not shuffled for this; hashes are, the texts once, and the lines that
+variants have joined.
 
 Nulls and ties: NULL and empty texts have no lines to compare and stay as they are; a NULL id comes first; rows that
 repeat an id and a text are one document, each is returned with the same lines; if an id has several texts, the
@@ -200,11 +201,28 @@ def _witnesses(variants: DataFrame) -> DataFrame:
     return met.withColumn("other", F.col("origin.line")).where(F.col("other") < F.col("line")).select("id", "line", "other").distinct()
 
 
-def _with_words(pairs: DataFrame, texts: DataFrame, place: str, words: str) -> DataFrame:
-    keyed = pairs.withColumn("p1", F.col(f"{place}.k1")).withColumn("p2", F.col(f"{place}.k2"))
-    joined = texts.join(keyed, (F.col("k1") == F.col("p1")) & (F.col("k2") == F.col("p2")))
-    line = F.when(F.col("t_id").eqNullSafe(F.col(f"{place}.t_id")), F.get(even_lines(F.col("t_text")), F.col(f"{place}.no")))
-    return joined.select(*pairs.columns, F.split(line, " ").alias(words))
+def _key(place: str) -> list[Column]:
+    """What names a line. Never NULL: said here, no filter of one use gets into the steps that all uses share, and their exchange is reused."""
+    return [F.coalesce(F.col(f"{place}.{name}"), F.lit(0)).alias(name) for name in ("k1", "k2", "no")]
+
+
+def _named_lines(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(n1, n2, n_no, text) of the lines that pairs name on either side. A text is opened once, whatever number of pairs names its lines."""
+    sides = [pairs.select(F.col(f"{place}.t_id").alias("t_id"), *_key(place)) for place in ("line", "other")]
+    places = sides[0].unionByName(sides[1]).distinct()
+    asked = places.groupBy(F.col("k1").alias("w1"), F.col("k2").alias("w2")).agg(F.collect_list(F.struct("t_id", "no")).alias("asked"))
+    return (
+        texts.join(asked, (F.col("k1") == F.col("w1")) & (F.col("k2") == F.col("w2")))
+        .select("t_id", "k1", "k2", even_lines(F.col("t_text")).alias("lines"), F.explode("asked").alias("place"))
+        .where(F.col("t_id").eqNullSafe(F.col("place.t_id")))
+        .select(F.col("k1").alias("n1"), F.col("k2").alias("n2"), F.col("place.no").alias("n_no"), F.get("lines", F.col("place.no")).alias("text"))
+        .distinct()
+    )
+
+
+def _with_words(pairs: DataFrame, named: DataFrame, place: str, words: str) -> DataFrame:
+    same = [one == F.col(name) for one, name in zip(_key(place), ("n1", "n2", "n_no"))]
+    return pairs.join(named, same).select(*pairs.columns, F.split("text", " ").alias(words))
 
 
 def one_edit(left: Column, right: Column) -> Column:
@@ -230,7 +248,8 @@ def removed_lines(docs: DataFrame, min_words: int = 8, doc_id: str = "doc_id", t
     first = written(first.withColumn("id", F.monotonically_increasing_id()), "lines")
     wanted = first.select("id", "line.*").join(_needed(first.where(F.col("n") >= min_words)), "id")
     pairs = _witnesses(_variants(wanted, texts))
-    pairs = _with_words(_with_words(pairs, texts, "line", "words"), texts, "other", "other_words")
+    named = _named_lines(pairs, texts)
+    pairs = _with_words(_with_words(pairs, named, "line", "words"), named, "other", "other_words")
     near = pairs.where(one_edit(F.col("words"), F.col("other_words"))).select("id").distinct().withColumn("near", F.lit(True))
     judged = (
         first.select("id", "h1", "h2", "line", "times")
