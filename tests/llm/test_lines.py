@@ -90,3 +90,17 @@ def test_columns_of_any_name_pass_through(spark):
 
 def test_empty(spark):
     assert lines.deduplicated(table(spark, [])).count() == 0
+
+
+def test_lines_that_pairs_name_come_from_one_join_with_the_texts(spark):
+    docs = spark.createDataFrame([(1, "a  b\nc d\ne f"), (None, "g h"), (3, "a b")], "doc_id long, text string")
+    texts = lines._texts(docs, "doc_id", "text")
+    place = lambda no: F.struct("t_id", "k1", "k2", F.lit(no).alias("no"))
+    first = texts.where("t_id = 1")
+    pairs = first.select(F.lit(0).alias("id"), place(1).alias("line"), place(0).alias("other")).unionByName(
+        first.select(F.lit(1).alias("id"), place(2).alias("line"), place(0).alias("other"))
+    ).unionByName(texts.where("t_id IS NULL").select(F.lit(2).alias("id"), place(0).alias("line"), place(0).alias("other")))
+    named = lines._named_lines(pairs, texts)
+    assert sorted(row["text"] for row in named.collect()) == ["a b", "c d", "e f", "g h"]
+    met = lines._with_words(pairs, named, "line", "words").collect()
+    assert sorted((row["id"], row["words"]) for row in met) == [(0, ["c", "d"]), (1, ["e", "f"]), (2, ["g", "h"])]
