@@ -24,6 +24,8 @@ hash of the text decides their order. Other columns pass through.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,22 +37,33 @@ OTHER_BLANKS = "\t\x0b\x0c\r"
 SUBSTITUTED, LONGER, SHORTER = 0, 1, 2
 
 
+def uneven(text: Column) -> Column:
+    """Whether a text has blanks that are not evened out, apart from those around its lines."""
+    return reduce(Column.__or__, [F.contains(text, F.lit(blanks)) for blanks in (*OTHER_BLANKS, "  ")])
+
+
 def even_lines(text: Column) -> Column:
     """The lines of a text with single blanks between words; numbering as in the text."""
+    single = text
     for blank in OTHER_BLANKS:
-        text = F.replace(text, F.lit(blank), F.lit(" "))
-    single = F.when(F.contains(text, F.lit("  ")), F.regexp_replace(text, " +", " ")).otherwise(text)
+        single = F.replace(single, F.lit(blank), F.lit(" "))
+    # Most texts are even: one look tells, and nothing is replaced in them.
+    single = F.when(uneven(text), F.regexp_replace(single, " +", " ")).otherwise(text)
     return F.transform(F.split(single, "\n"), lambda line: F.trim(line))
 
 
-def halves(words: Column, n: Column) -> list[Column]:
-    """Keys of (length, half): as a line of that length and, with one word fewer, as the longer of two."""
+def halves(line: Column, n: Column) -> list[Column]:
+    """Keys of (length, half): as a line of that length and, with one word fewer, as the longer of two.
+
+    Words of an evened line are parted by single blanks, so a half is a stretch of the line itself: no list of words is cut.
+    """
 
     def keys(length: Column, longer: bool) -> list[Column]:
         front = F.floor(length / 2).cast("int")
         back = (length - front).cast("int")
-        first = F.xxhash64(length, F.lit(0), F.slice(words, F.lit(1), front))
-        second = F.xxhash64(length, F.lit(1), F.slice(words, (n - back + 1).cast("int"), back))
+        words = lambda count: F.call_function("substring_index", line, F.lit(" "), count)
+        first = F.xxhash64(length, F.lit(0), words(front))
+        second = F.xxhash64(length, F.lit(1), words(-back))
         return [
             F.struct(key.alias("key"), F.lit(longer).alias("longer"), F.lit(side).alias("side"))
             for side, key in enumerate((first, second))
@@ -73,10 +86,10 @@ def _lines(texts: DataFrame, least: int, whole: int) -> DataFrame:
     """One row per line: where it is, two hashes that name it, its length and, from ``whole`` words on, the four half keys."""
     rows = texts.select("t_id", "k1", "k2", F.posexplode(even_lines(F.col("t_text"))).alias("no", "line"))
     rows = rows.where(F.col("line") != "")
-    rows = rows.withColumn("words", F.split("line", " ")).withColumn("n", F.size("words"))
+    rows = rows.withColumn("n", F.size(F.split("line", " ")))
     if least > 1:
         rows = rows.where(F.col("n") >= least)
-    keys = [F.when(F.col("n") >= whole, key["key"]).alias(f"half{i}") for i, key in enumerate(halves(F.col("words"), F.col("n")))]
+    keys = [F.when(F.col("n") >= whole, key["key"]).alias(f"half{i}") for i, key in enumerate(halves(F.col("line"), F.col("n")))]
     return rows.select(*PLACE, F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2"), "n", *keys)
 
 

@@ -104,3 +104,22 @@ def test_lines_that_pairs_name_come_from_one_join_with_the_texts(spark):
     assert sorted(row["text"] for row in named.collect()) == ["a b", "c d", "e f", "g h"]
     met = lines._with_words(pairs, named, "line", "words").collect()
     assert sorted((row["id"], row["words"]) for row in met) == [(0, ["c", "d"]), (1, ["e", "f"]), (2, ["g", "h"])]
+
+
+def test_halves_are_stretches_of_the_line_and_even_texts_are_looked_at_once(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g h"), (2, "a b c d x f g h"), (3, "a b c d f g h i j")], "doc_id long, text string")
+    rows = lines._lines(lines._texts(docs, "doc_id", "text"), 1, 8)
+    # No list of words for each half, and no text searched for each blank twice over.
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "slice(" not in plan and plan.count("replace(") - plan.count("regexp_replace(") == len(lines.OTHER_BLANKS)
+    half = {row["t_id"]: row for row in rows.collect()}
+    assert half[1]["half0"] == half[2]["half0"] and half[1]["half1"] != half[2]["half1"]
+    assert half[1]["half0"] == half[3]["half2"] and half[1]["half1"] != half[3]["half3"]
+    halves = spark.sql("SELECT 'a' AS line UNION ALL SELECT 'a b' UNION ALL SELECT 'b a'").select(
+        "line", *[key["key"].alias(f"k{i}") for i, key in enumerate(lines.halves(F.col("line"), F.size(F.split("line", " "))))]
+    )
+    one = {row["line"]: row for row in halves.collect()}
+    assert one["a"]["k1"] == one["b a"]["k3"] != one["a b"]["k3"] and one["a"]["k0"] == one["a b"]["k2"]
+    odd = ["a\tb", "a\x0bb", "a\x0cb", "a\rb", "a  b", "a b", " a b ", " \ta \x0b b\x0c\r"]
+    even = spark.createDataFrame([(text + "\n" + text,) for text in odd] + [(None,), ("",)], "text string").select(lines.even_lines(F.col("text")).alias("l"))
+    assert [row["l"] for row in even.collect()] == [["a b", "a b"]] * len(odd) + [None, [""]]
